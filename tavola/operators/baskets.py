@@ -14,20 +14,18 @@ def baskets(items: DataFrame, orders: DataFrame | None = None, min_size: int = 2
     """The set of items of each order, sorted, for orders of ``min_size`` items.
 
     With ``orders``, the lines of completed orders; without, sold lines of any
-    status. Sets are built on the map side, so a basket never holds more than the
-    menu however often an item is repeated.
+    status. Sets are built on the map side and before the orders join, so however
+    often an item is repeated, a basket never holds more than the menu.
     """
-    if orders is None:
-        lines = sold_lines(items).select("order_id", "item_id")
-    else:
-        lines = items.select("order_id", "item_id").join(
-            completed(orders).select("order_id"), "order_id"
-        )
-    return (
+    lines = sold_lines(items) if orders is None else items
+    rows = (
         lines.groupBy("order_id")
         .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
         .filter(F.size("items") >= min_size)
     )
+    if orders is None:
+        return rows
+    return rows.join(completed(orders).select("order_id"), "order_id", "left_semi")
 
 
 def category_lines(items: DataFrame, menu: DataFrame) -> DataFrame:
@@ -46,26 +44,29 @@ def fit_itemsets(
     return growth.fit(basket_rows.select("items"))
 
 
+def itemsets_of(model: FPGrowthModel) -> DataFrame:
+    return model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
+
+
 def frequent_itemsets(basket_rows: DataFrame, min_support: float) -> DataFrame:
-    found = fit_itemsets(basket_rows, min_support).freqItemsets
-    return found.select(F.sort_array("items").alias("items"), "freq")
+    return itemsets_of(fit_itemsets(basket_rows, min_support))
 
 
 def top_itemsets(itemsets: DataFrame, k: int = 10) -> DataFrame:
     return top_k(itemsets, k, F.desc("freq"), F.asc("items"))
 
 
+def rules_of(model: FPGrowthModel) -> DataFrame:
+    antecedent = F.sort_array("antecedent").alias("antecedent")
+    return model.associationRules.select(
+        antecedent, "consequent", "support", "confidence", "lift"
+    )
+
+
 def association_rules(
     basket_rows: DataFrame, min_support: float, min_confidence: float
 ) -> DataFrame:
-    rules = fit_itemsets(basket_rows, min_support, min_confidence).associationRules
-    return rules.select(
-        F.sort_array("antecedent").alias("antecedent"),
-        "consequent",
-        "support",
-        "confidence",
-        "lift",
-    )
+    return rules_of(fit_itemsets(basket_rows, min_support, min_confidence))
 
 
 def top_rules(rules: DataFrame, k: int = 10) -> DataFrame:

@@ -72,3 +72,19 @@ def train_menu_classifier(
     )
     sizes = {"training_records": train.count(), "test_records": test.count()}
     return models, table.withColumns({name: F.lit(n) for name, n in sizes.items()})
+
+
+def model_version(comparison: DataFrame, version: str = "v1.0") -> DataFrame:
+    """One row that records what was trained, on how much, and how well."""
+    return comparison.filter("best").select(
+        F.lit("menu_classifier").alias("model_name"),
+        F.lit(version).alias("version"),
+        F.current_timestamp().alias("trained_on"),
+        F.array(*map(F.lit, classifiers())).alias("algorithms_compared"),
+        F.col("model").alias("best_model"),
+        "accuracy",
+        F.col("f1").alias("f1_score"),
+        F.array(*map(F.lit, FEATURES)).alias("features_used"),
+        "training_records",
+        "test_records",
+    )

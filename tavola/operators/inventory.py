@@ -32,16 +32,24 @@ def item_volume(items: DataFrame) -> DataFrame:
     )
 
 
-def top_sellers(items: DataFrame, k: int = 10) -> DataFrame:
-    sold = item_volume(items).select("item_id", F.col("total_qty").alias("qty"))
+def top_sellers_of(volume: DataFrame, k: int = 10) -> DataFrame:
+    sold = volume.select("item_id", F.col("total_qty").alias("qty"))
     return top_k(sold, k, F.desc("qty"), F.asc("item_id"))
 
 
-def low_sellers(items: DataFrame, k: int = 10) -> DataFrame:
-    sold = item_volume(items).select("item_id", F.col("total_qty").alias("qty"))
+def low_sellers_of(volume: DataFrame, k: int = 10) -> DataFrame:
+    sold = volume.select("item_id", F.col("total_qty").alias("qty"))
     return top_k(sold, k, F.asc("qty"), F.asc("item_id"))
 
 
+def top_sellers(items: DataFrame, k: int = 10) -> DataFrame:
+    return top_sellers_of(item_volume(items), k)
+
+
+def low_sellers(items: DataFrame, k: int = 10) -> DataFrame:
+    return low_sellers_of(item_volume(items), k)
+
+
 def _named(volume: DataFrame, menu: DataFrame) -> DataFrame:
     return volume.join(menu.select("item_id", "item_name", "category"), "item_id").orderBy(
         "total_qty", "item_id"

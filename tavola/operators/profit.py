@@ -61,10 +61,13 @@ def classify_quadrant(items: DataFrame) -> DataFrame:
     """Add ``performance_class``: at or above the average quantity and margin.
 
     The averages are over items, not weighted by sales. They are scalar
-    subqueries, so nothing is collected and no row goes to a single task.
+    subqueries, so nothing is collected and no row goes to a single task. Every
+    item has lines; asking for ``order_count`` there gives the subquery the same
+    per-item aggregate as the result, whose shuffle Spark then reuses.
     """
-    avg_qty = items.agg(F.avg("qty_sold")).scalar()
-    avg_margin = items.agg(F.sum(cents("profit_pct")) / F.count("profit_pct")).scalar()
+    sold = items.filter(F.col("order_count") > 0)
+    avg_qty = sold.agg(F.avg("qty_sold")).scalar()
+    avg_margin = sold.agg(F.sum(cents("profit_pct")) / F.count("profit_pct")).scalar()
     return items.withColumn(
         "performance_class",
         _quadrant(F.col("qty_sold") >= avg_qty, cents("profit_pct") >= avg_margin),

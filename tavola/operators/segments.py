@@ -42,15 +42,18 @@ def kmeans_segments(rfm: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     return scored.select("customer_id", *MEASURES, "prediction")
 
 
-def segment_quality(rfm: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
-    """Silhouette of the clustering, as one ``(metric, value)`` row."""
-    _, scored = fit_segments(rfm, k, seed)
-    silhouette = ClusteringEvaluator(featuresCol="features").evaluate(scored)
-    return rfm.sparkSession.createDataFrame(
-        [("silhouette", float(silhouette))], "metric string, value double"
+def silhouette(scored: DataFrame) -> DataFrame:
+    """Silhouette of scored rows, as one ``(metric, value)`` row."""
+    value = ClusteringEvaluator(featuresCol="features").evaluate(scored)
+    return scored.sparkSession.createDataFrame(
+        [("silhouette", float(value))], "metric string, value double"
     )
 
 
+def segment_quality(rfm: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
+    return silhouette(fit_segments(rfm, k, seed)[1])
+
+
 def _nth(texts: Sequence[str], rank: str | Column) -> Column:
     return F.element_at(F.array(*map(F.lit, texts)), as_column(rank))
 
@@ -58,8 +61,8 @@ def _nth(texts: Sequence[str], rank: str | Column) -> Column:
 def label_segments(segments: DataFrame, labels: Sequence[str] = SEGMENT_LABELS) -> DataFrame:
     """Rank clusters by mean monetary value, richest first, and name them.
 
-    Cluster ids are arbitrary, so only the rank carries meaning. The window runs
-    over one row per cluster.
+    Cluster ids are arbitrary, so only the rank carries meaning. The ranks hold
+    one row per cluster, which bounds the window and the broadcast.
     """
     richest = Window.orderBy(F.desc("mean"), F.asc("prediction"))
     ranks = (
@@ -67,7 +70,7 @@ def label_segments(segments: DataFrame, labels: Sequence[str] = SEGMENT_LABELS)
         .agg((F.sum(cents("monetary")) / F.count("monetary")).alias("mean"))
         .select("prediction", F.row_number().over(richest).alias("segment_rank"))
     )
-    return segments.join(ranks, "prediction").withColumn("segment", _nth(labels, "segment_rank"))
+    return segments.join(F.broadcast(ranks), "prediction").withColumn("segment", _nth(labels, "segment_rank"))
 
 
 def segment_counts(segments: DataFrame) -> DataFrame:

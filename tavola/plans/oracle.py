@@ -1,7 +1,7 @@
 """The same queries in ANSI SQL, for an independent engine to check against.
 
 Money is summed as ``decimal(18,2)`` here and in whole cents by the operators, and
-ratios are rounded half up as decimals, so exact halves agree too.
+ratios are rounded half up from their decimal text, so exact halves agree too.
 """
 
 from __future__ import annotations
@@ -67,7 +67,9 @@ _PAID = "status = 'Completed' AND total_amount > 0"
 
 
 def _r(x: str, digits: int = 2) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    """Round the shortest text of a double half up, as Spark rounds doubles."""
+    text = f"CAST(CAST({x} AS DOUBLE) AS VARCHAR)"
+    return f"CAST(ROUND(CAST({text} AS DECIMAL(38,17)), {digits}) AS DOUBLE)"
 
 
 def _money(x: str) -> str:

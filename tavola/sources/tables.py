@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from tavola.operators.periods import orders_with_month
-from tavola.sources.schemas import schema_of
+from tavola.sources.schemas import CORRUPT, schema_of
 
 
 def _is_missing(error: AnalysisException) -> bool:
@@ -22,7 +22,8 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> D
     """A source table, or None when its path does not exist.
 
     CSV rows that do not fit the schema keep their readable fields, get null for
-    the others and carry the raw text in ``_corrupt_record``.
+    the others and carry the raw text in ``_corrupt_record``. Stored tables keep
+    that column for :func:`read_rejects`; it is not part of the table read here.
     """
     try:
         if fmt == "csv":
@@ -32,13 +33,18 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> D
                 .option("mode", "PERMISSIVE")
                 .csv(path)
             )
-        return spark.read.format(fmt).load(path)
+        return spark.read.format(fmt).load(path).drop(CORRUPT)
     except AnalysisException as error:
         if _is_missing(error):
             return None
         raise
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a stored table whose text did not fit its schema."""
+    return spark.read.parquet(path).filter(F.col(CORRUPT).isNotNull())
+
+
 def read_with_fallback(
     spark: SparkSession, candidates: Iterable[tuple[str, str, str]]
 ) -> DataFrame | None:
@@ -59,7 +65,7 @@ def read_restaurants(spark: SparkSession, parquet_path: str, csv_path: str) -> D
     if raw is None:
         return None
     write_table(raw, parquet_path)
-    return spark.read.parquet(parquet_path)
+    return read_table(spark, "restaurants", parquet_path, "parquet")
 
 
 def read_wastage_share(spark: SparkSession, analysis: str, risk: str) -> DataFrame | None:
