@@ -80,6 +80,18 @@ def one_row_to_rows(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.unpivot([], list(df.columns), key, value)
 
 
+def share_shuffle(df: DataFrame, *counts: str) -> DataFrame:
+    """``df`` for a scalar average beside ``df`` itself.
+
+    A count is never negative, so no row goes. But naming the counts keeps them in
+    the plan of the average, which then equals the plan of ``df`` up to its shuffle,
+    and Spark shuffles once for both.
+    """
+    for name in counts:
+        df = df.filter(F.col(name) >= 0)
+    return df
+
+
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """First ``k`` rows; the last of ``order`` must be unique to settle ties."""
     return df.orderBy(*order).limit(k)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import day, money_sum, top_k
+from tavola.functions.columns import day, money_sum, share_shuffle, top_k
 
 
 def sales_anomalies(orders: DataFrame, z: float = 2.5) -> DataFrame:
@@ -15,13 +15,16 @@ def sales_anomalies(orders: DataFrame, z: float = 2.5) -> DataFrame:
     give no rows.
     """
     daily = orders.groupBy(day("order_date").alias("order_date")).agg(
-        money_sum("total_amount").alias("daily_revenue"),
         F.count("order_id").alias("order_count"),
+        money_sum("total_amount").alias("daily_revenue"),
     )
-    mean = daily.agg(F.avg("daily_revenue")).scalar()
-    spread = daily.agg(F.stddev_samp("daily_revenue")).scalar()
+    days = share_shuffle(daily, "order_count")
+    mean = days.agg(F.avg("daily_revenue")).scalar()
+    spread = days.agg(F.stddev_samp("daily_revenue")).scalar()
     score = F.try_divide(F.abs(F.col("daily_revenue") - mean), spread)
-    return daily.withColumn("z_score", F.round(score, 6)).filter(F.col("z_score") > z)
+    return daily.select(
+        "order_date", "daily_revenue", "order_count", F.round(score, 6).alias("z_score")
+    ).filter(F.col("z_score") > z)
 
 
 def top_anomalies(anomalies: DataFrame, k: int = 10) -> DataFrame:

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import cents, money_avg, money_sum, percent, top_k
+from tavola.functions.columns import (
+    cents,
+    money_avg,
+    money_sum,
+    percent,
+    share_shuffle,
+    top_k,
+)
 from tavola.functions.filters import paid, sold_lines
 from tavola.functions.fixed import (
     HIDDEN_OPPORTUNITY,
@@ -36,8 +43,8 @@ def menu_profitability(items: DataFrame, orders: DataFrame, menu: DataFrame) ->
         .groupBy("item_id")
         .agg(
             F.sum("quantity").alias("qty_sold"),
-            money_sum("line_total").alias("revenue"),
             F.count("order_id").alias("order_count"),
+            money_sum("line_total").alias("revenue"),
         )
     )
     card = menu.select("item_id", "item_name", "category", "cost", "base_price")
@@ -61,11 +68,9 @@ def classify_quadrant(items: DataFrame) -> DataFrame:
     """Add ``performance_class``: at or above the average quantity and margin.
 
     The averages are over items, not weighted by sales. They are scalar
-    subqueries, so nothing is collected and no row goes to a single task. Every
-    item has lines; asking for ``order_count`` there gives the subquery the same
-    per-item aggregate as the result, whose shuffle Spark then reuses.
+    subqueries, so nothing is collected and no row goes to a single task.
     """
-    sold = items.filter(F.col("order_count") > 0)
+    sold = share_shuffle(items, "order_count")
     avg_qty = sold.agg(F.avg("qty_sold")).scalar()
     avg_margin = sold.agg(F.sum(cents("profit_pct")) / F.count("profit_pct")).scalar()
     return items.withColumn(
