@@ -87,15 +87,17 @@ def pair_rules(basket_rows: DataFrame, min_support: float, min_confidence: float
 
     Baskets are cut to the frequent items before pairs are made. That loses no
     rule, and at most mean basket size divided by ``min_support`` items are left.
+    The number of baskets comes out of the item counts, as that of a null item.
     """
-    total = basket_rows.agg(F.count("*")).scalar()
-    least = F.ceil(total * F.lit(min_support))
-    singles = (
-        basket_rows.select(F.explode("items").alias("item"))
+    marked = F.concat("items", F.array(F.lit(None)))
+    counts = (
+        basket_rows.select(F.explode(marked).alias("item"))
         .groupBy("item")
         .agg(F.count("*").alias("freq"))
-        .filter(F.col("freq") >= least)
     )
+    total = counts.filter(F.col("item").isNull()).select("freq").scalar()
+    least = F.ceil(total * F.lit(min_support))
+    singles = counts.filter(F.col("item").isNotNull() & (F.col("freq") >= least))
     trimmed = (
         basket_rows.select("order_id", F.explode("items").alias("item"))
         .join(singles.select("item"), "item", "left_semi")
