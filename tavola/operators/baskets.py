@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavola.functions.columns import top_k
@@ -17,15 +17,18 @@ def baskets(items: DataFrame, orders: DataFrame | None = None, min_size: int = 2
     status. Sets are built on the map side and before the orders join, so however
     often an item is repeated, a basket never holds more than the menu.
     """
-    lines = sold_lines(items) if orders is None else items
-    rows = (
+    if orders is None:
+        return baskets_of(sold_lines(items), min_size)
+    done = completed(orders).select("order_id")
+    return baskets_of(items, min_size).join(done, "order_id", "left_semi")
+
+
+def baskets_of(lines: DataFrame, min_size: int = 2) -> DataFrame:
+    return (
         lines.groupBy("order_id")
         .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
         .filter(F.size("items") >= min_size)
     )
-    if orders is None:
-        return rows
-    return rows.join(completed(orders).select("order_id"), "order_id", "left_semi")
 
 
 def category_lines(items: DataFrame, menu: DataFrame) -> DataFrame:
@@ -82,6 +85,12 @@ def _pairs(basket_rows: DataFrame) -> DataFrame:
     )
 
 
+def _side(antecedent: str, consequent: str) -> Column:
+    return F.struct(
+        F.col(antecedent).alias("antecedent"), F.col(consequent).alias("consequent"), "both"
+    )
+
+
 def pair_rules(basket_rows: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """Rules with one item on each side, counted without FP-Growth.
 
@@ -113,8 +122,8 @@ def pair_rules(basket_rows: DataFrame, min_support: float, min_confidence: float
     sides = pairs.select(
         F.inline(
             F.array(
-                F.struct(F.col("item1").alias("antecedent"), F.col("item2").alias("consequent"), "both"),
-                F.struct(F.col("item2").alias("antecedent"), F.col("item1").alias("consequent"), "both"),
+                _side("item1", "item2"),
+                _side("item2", "item1"),
             )
         )
     )
@@ -148,7 +157,11 @@ def bundle_pairs(basket_rows: DataFrame, k: int = 50, small: int = 64) -> DataFr
     few = basket_rows.filter(F.size("items") <= small)
     many = basket_rows.filter(F.size("items") > small)
     counted = _pairs(few).groupBy("item1", "item2").agg(F.count("*").alias("n"))
-    best = counted.orderBy(F.desc("n")).limit(k).agg(F.min("n").alias("n"), F.count("*").alias("rows"))
+    best = (
+        counted.orderBy(F.desc("n"))
+        .limit(k)
+        .agg(F.min("n").alias("n"), F.count("*").alias("rows"))
+    )
     least = best.select(F.when(F.col("rows") == k, F.col("n")).otherwise(F.lit(1))).scalar()
 
     placed = many.select("order_id", F.explode("items").alias("item"))
@@ -170,9 +183,11 @@ def bundle_pairs(basket_rows: DataFrame, k: int = 50, small: int = 64) -> DataFr
         .filter((F.col("n") + lesser >= least) & (lesser < least))
         .select("item1", "item2")
     )
+    first = placed.select(F.col("item").alias("item1"), "order_id")
+    second = placed.select(F.col("item").alias("item2"), "order_id")
     confirmed = (
-        open_pairs.join(placed.select(F.col("item").alias("item1"), "order_id"), "item1")
-        .join(placed.select(F.col("item").alias("item2"), "order_id"), ["item2", "order_id"], "left_semi")
+        open_pairs.join(first, "item1")
+        .join(second, ["item2", "order_id"], "left_semi")
         .select("item1", "item2")
     )
     extra = in_heavy.unionByName(confirmed).groupBy("item1", "item2").agg(F.count("*").alias("n"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tavola.functions.columns import money_avg, money_sum
-from tavola.functions.filters import paid, sold_lines
+from tavola.functions.filters import paid
+from tavola.functions.lines import completed_lines, sold_and_paid
 
 
 def channel_analysis(orders: DataFrame) -> DataFrame:
@@ -25,18 +26,18 @@ def channel_analysis(orders: DataFrame) -> DataFrame:
 def channel_detailed(
     items: DataFrame, orders: DataFrame, distinct_orders: bool = False
 ) -> DataFrame:
+    return channel_detailed_of(completed_lines(items, orders), distinct_orders)
+
+
+def channel_detailed_of(lines: DataFrame, distinct_orders: bool = False) -> DataFrame:
     """Line-level channel figures.
 
     ``total_orders`` counts lines; ``distinct_orders=True`` counts orders instead.
     """
-    lines = (
-        sold_lines(items)
-        .select("order_id", "item_id", "quantity", "line_total")
-        .join(paid(orders).select("order_id", "channel"), "order_id")
-    )
     counted = F.countDistinct("order_id") if distinct_orders else F.count("order_id")
     return (
-        lines.groupBy("channel")
+        sold_and_paid(lines)
+        .groupBy("channel")
         .agg(
             F.sum("quantity").alias("total_qty"),
             counted.alias("total_orders"),
@@ -50,10 +51,9 @@ def channel_detailed(
 
 
 def channel_item_qty(items: DataFrame, orders: DataFrame) -> DataFrame:
-    return (
-        sold_lines(items)
-        .select("order_id", "item_id", "quantity")
-        .join(paid(orders).select("order_id", "channel"), "order_id")
-        .groupBy("channel", "item_id")
-        .agg(F.sum("quantity").alias("qty"))
-    )
+    return channel_item_qty_of(completed_lines(items, orders))
+
+
+def channel_item_qty_of(lines: DataFrame) -> DataFrame:
+    sold = sold_and_paid(lines)
+    return sold.groupBy("channel", "item_id").agg(F.sum("quantity").alias("qty"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tavola.functions.columns import band, day, money_sum, weekend_flag
 from tavola.functions.filters import completed, paid, sold_lines
 from tavola.functions.fixed import CHURN_BANDS, CHURN_REST
+from tavola.functions.lines import completed_lines, sold_and_paid
 
 
 def rfm(orders: DataFrame, as_of: date | None = None, offset_days: int = 0) -> DataFrame:
@@ -67,11 +68,14 @@ def churn_headline(churn: DataFrame) -> DataFrame:
 
 
 def category_diversity(items: DataFrame, orders: DataFrame, menu: DataFrame) -> DataFrame:
+    return category_diversity_of(completed_lines(items, orders), menu)
+
+
+def category_diversity_of(lines: DataFrame, menu: DataFrame) -> DataFrame:
     """How many categories each customer has bought from."""
     return (
-        sold_lines(items)
-        .select("order_id", "item_id")
-        .join(paid(orders).select("order_id", "customer_id"), "order_id")
+        sold_and_paid(lines)
+        .select("customer_id", "item_id")
         .join(menu.select("item_id", "category"), "item_id")
         .groupBy("customer_id")
         .agg(F.countDistinct("category").alias("category_diversity"))
@@ -87,6 +91,10 @@ def churn_enhanced(churn: DataFrame, diversity: DataFrame) -> DataFrame:
 def repeat_purchase_rate(
     items: DataFrame, orders: DataFrame, distinct_orders: bool = False
 ) -> DataFrame:
+    return repeat_purchase_rate_of(completed_lines(items, orders), distinct_orders)
+
+
+def repeat_purchase_rate_of(lines: DataFrame, distinct_orders: bool = False) -> DataFrame:
     """Percent of an item's customers with more than one line of it.
 
     Two lines of one order count as a repeat; ``distinct_orders=True`` asks for
@@ -94,9 +102,7 @@ def repeat_purchase_rate(
     """
     bought = F.countDistinct("order_id") if distinct_orders else F.count("order_id")
     return (
-        sold_lines(items)
-        .select("order_id", "item_id")
-        .join(paid(orders).select("order_id", "customer_id"), "order_id")
+        sold_and_paid(lines)
         .groupBy("item_id", "customer_id")
         .agg((bought > 1).cast("int").alias("repeat"))
         .groupBy("item_id")
@@ -105,17 +111,13 @@ def repeat_purchase_rate(
 
 
 def weekend_ratio(items: DataFrame, orders: DataFrame) -> DataFrame:
+    return weekend_ratio_of(completed_lines(items, orders))
+
+
+def weekend_ratio_of(lines: DataFrame) -> DataFrame:
     """Percent of an item's lines that were ordered at a weekend."""
-    return (
-        sold_lines(items)
-        .select("order_id", "item_id")
-        .join(
-            paid(orders).select("order_id", weekend_flag("order_date").alias("weekend")),
-            "order_id",
-        )
-        .groupBy("item_id")
-        .agg(F.round(F.avg("weekend") * 100, 2).alias("weekend_ratio_pct"))
-    )
+    share = F.round(F.avg(weekend_flag("order_date")) * 100, 2)
+    return sold_and_paid(lines).groupBy("item_id").agg(share.alias("weekend_ratio_pct"))
 
 
 def weekend_only_items(ratio: DataFrame, min_pct: float = 60) -> DataFrame:
@@ -128,10 +130,18 @@ def basket_size(items: DataFrame, orders: DataFrame) -> DataFrame:
     Lines are summed per order before the join, on the key the join needs.
     """
     per_order = sold_lines(items).groupBy("order_id").agg(F.sum("quantity").alias("in_order"))
+    owned = per_order.join(paid(orders).select("order_id", "customer_id"), "order_id")
+    return _mean_order(owned, "in_order")
+
+
+def basket_size_of(lines: DataFrame) -> DataFrame:
+    return _mean_order(sold_and_paid(lines), "quantity")
+
+
+def _mean_order(rows: DataFrame, quantity: str) -> DataFrame:
     return (
-        per_order.join(paid(orders).select("order_id", "customer_id"), "order_id")
-        .groupBy("customer_id", "order_id")
-        .agg(F.sum("in_order").alias("in_order"))
+        rows.groupBy("customer_id", "order_id")
+        .agg(F.sum(quantity).alias("in_order"))
         .groupBy("customer_id")
         .agg(F.round(F.avg("in_order"), 2).alias("avg_basket_size"))
     )

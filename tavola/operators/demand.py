@@ -34,6 +34,11 @@ def daily_demand(items: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def daily_demand_of(lines: DataFrame) -> DataFrame:
+    dated = lines.groupBy(day("order_date").alias("order_date"))
+    return dated.agg(F.sum("quantity").alias("demand"))
+
+
 def _with_lags(daily: DataFrame) -> DataFrame:
     """Demand one and seven rows back. A row is a date, so the single window
     partition is bounded by the calendar and not by the number of orders."""
@@ -104,7 +109,10 @@ def train_forecast(
     fitted = {name: model.fit(train) for name, model in (models or regressors()).items()}
     scored = [
         model.transform(test).select(
-            "order_date", "demand", F.col("prediction").alias("predicted"), F.lit(name).alias("model")
+            "order_date",
+            "demand",
+            F.col("prediction").alias("predicted"),
+            F.lit(name).alias("model"),
         )
         for name, model in fitted.items()
     ]

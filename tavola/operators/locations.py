@@ -7,27 +7,31 @@ from pyspark.sql import functions as F
 
 from tavola.functions.columns import cents, money_avg, money_sum, percent, top_k
 from tavola.functions.filters import completed
+from tavola.functions.lines import completed_lines
 
 
 def location_comparison(
     orders: DataFrame, items: DataFrame, menu: DataFrame, wastage: DataFrame
+) -> DataFrame:
+    return location_comparison_of(orders, completed_lines(items, orders), menu, wastage)
+
+
+def location_comparison_of(
+    orders: DataFrame, lines: DataFrame, menu: DataFrame, wastage: DataFrame
 ) -> DataFrame:
     """Revenue, profit and wastage per location, over completed orders.
 
     ``revenue`` comes from order totals, ``gross_revenue`` from their lines.
     Lines are reduced to one row per location and item before the cost join.
     """
-    done = completed(orders)
-    takings = done.groupBy("location_id").agg(
+    takings = completed(orders).groupBy("location_id").agg(
         money_sum("total_amount").alias("revenue"),
         F.count("order_id").alias("total_orders"),
         money_avg("total_amount").alias("avg_order_value"),
         F.countDistinct("customer_id").alias("unique_customers"),
     )
     profit = (
-        items.select("order_id", "item_id", "quantity", "line_total")
-        .join(done.select("order_id", "location_id"), "order_id")
-        .groupBy("location_id", "item_id")
+        lines.groupBy("location_id", "item_id")
         .agg(F.sum("quantity").alias("qty"), F.sum(cents("line_total")).alias("line_cents"))
         .join(menu.select("item_id", "cost"), "item_id")
         .groupBy("location_id")

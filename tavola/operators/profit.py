@@ -13,13 +13,13 @@ from tavola.functions.columns import (
     share_shuffle,
     top_k,
 )
-from tavola.functions.filters import paid, sold_lines
 from tavola.functions.fixed import (
     HIDDEN_OPPORTUNITY,
     LOW_PERFORMER,
     PROFIT_DRIVER,
     VOLUME_DRIVER,
 )
+from tavola.functions.lines import completed_lines, sold_and_paid
 
 
 def _margin(revenue: str, cost: Column) -> dict[str, Column]:
@@ -31,15 +31,17 @@ def _margin(revenue: str, cost: Column) -> dict[str, Column]:
 
 
 def menu_profitability(items: DataFrame, orders: DataFrame, menu: DataFrame) -> DataFrame:
+    return menu_profitability_of(completed_lines(items, orders), menu)
+
+
+def menu_profitability_of(lines: DataFrame, menu: DataFrame) -> DataFrame:
     """Sales, cost and margin per menu item, over sold lines of paid orders.
 
     Lines are reduced to one row per item before they meet the menu, so a
     best-seller costs one partial row per task in that shuffle.
     """
     sales = (
-        sold_lines(items)
-        .select("order_id", "item_id", "quantity", "line_total")
-        .join(paid(orders).select("order_id"), "order_id")
+        sold_and_paid(lines)
         .groupBy("item_id")
         .agg(
             F.sum("quantity").alias("qty_sold"),
@@ -89,26 +91,27 @@ def class_summary(classified: DataFrame) -> DataFrame:
 
 
 def location_menu(items: DataFrame, orders: DataFrame) -> DataFrame:
+    return location_menu_of(completed_lines(items, orders))
+
+
+def location_menu_of(lines: DataFrame) -> DataFrame:
     """Quantity per location and item."""
-    return (
-        sold_lines(items)
-        .select("order_id", "item_id", "quantity")
-        .join(paid(orders).select("order_id", "location_id"), "order_id")
-        .groupBy("location_id", "item_id")
-        .agg(F.sum("quantity").alias("qty_sold"))
-    )
+    sold = sold_and_paid(lines)
+    return sold.groupBy("location_id", "item_id").agg(F.sum("quantity").alias("qty_sold"))
 
 
 def location_menu_classified(items: DataFrame, orders: DataFrame, menu: DataFrame) -> DataFrame:
+    return location_menu_classified_of(completed_lines(items, orders), menu)
+
+
+def location_menu_classified_of(lines: DataFrame, menu: DataFrame) -> DataFrame:
     """The quadrant rule inside each location.
 
     The location averages are an aggregate joined back: it holds one row per
     location, while a window would sort a whole location in one task.
     """
     sales = (
-        sold_lines(items)
-        .select("order_id", "item_id", "quantity", "line_total")
-        .join(paid(orders).select("order_id", "location_id"), "order_id")
+        sold_and_paid(lines)
         .groupBy("location_id", "item_id")
         .agg(F.sum("quantity").alias("qty_sold"), money_sum("line_total").alias("revenue"))
         .join(menu.select("item_id", "cost"), "item_id")

@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tavola.functions.columns import cents, day, percent
-from tavola.functions.filters import completed, sold_lines
+from tavola.functions.filters import sold_lines
+from tavola.functions.lines import completed_lines
 
 
 def _performance(
-    items: DataFrame, orders: DataFrame, menu: DataFrame, promotions: DataFrame, how: str
+    lines: DataFrame, menu: DataFrame, promotions: DataFrame, how: str
 ) -> DataFrame:
-    sales = (
-        items.select("order_id", "item_id", "quantity", "line_total")
-        .join(completed(orders).select("order_id"), "order_id")
-        .groupBy("item_id")
-        .agg(F.sum("quantity").alias("qty_sold"), F.sum(cents("line_total")).alias("line_cents"))
+    sales = lines.groupBy("item_id").agg(
+        F.sum("quantity").alias("qty_sold"), F.sum(cents("line_total")).alias("line_cents")
     )
     promoted = promotions.select("item_id").distinct()
     revenue = F.col("line_cents") / F.lit(100.0)
@@ -34,15 +32,28 @@ def _performance(
 
 def promotion_performance(
     items: DataFrame, orders: DataFrame, menu: DataFrame, promotions: DataFrame
+) -> DataFrame:
+    return promotion_performance_of(completed_lines(items, orders), menu, promotions)
+
+
+def promotion_performance_of(
+    lines: DataFrame, menu: DataFrame, promotions: DataFrame
 ) -> DataFrame:
     """Completed sales and profit of the items that were ever promoted."""
-    return _performance(items, orders, menu, promotions, "left_semi")
+    return _performance(lines, menu, promotions, "left_semi")
 
 
 def nonpromoted_performance(
     items: DataFrame, orders: DataFrame, menu: DataFrame, promotions: DataFrame
 ) -> DataFrame:
-    return _performance(items, orders, menu, promotions, "left_anti")
+    return nonpromoted_performance_of(completed_lines(items, orders), menu, promotions)
+
+
+def nonpromoted_performance_of(
+    lines: DataFrame, menu: DataFrame, promotions: DataFrame
+) -> DataFrame:
+    """The same of the items that never were."""
+    return _performance(lines, menu, promotions, "left_anti")
 
 
 def promo_traps(performance: DataFrame, min_qty: int = 5000, max_margin: float = 0.4) -> DataFrame:

@@ -17,9 +17,10 @@ def recommend(classified: DataFrame, wastage: DataFrame | None = None) -> DataFr
     if wastage is None:
         rated = classified.withColumn("wastage_pct", F.lit(0.0))
     else:
-        rated = classified.join(
-            wastage.select("item_id", "wastage_pct"), "item_id", "left"
-        ).fillna(0, subset=["qty_sold", "revenue", "total_cost", "profit", "profit_pct", "wastage_pct"])
+        share = wastage.select("item_id", "wastage_pct")
+        rated = classified.join(share, "item_id", "left").fillna(
+            0, subset=["qty_sold", "revenue", "total_cost", "profit", "profit_pct", "wastage_pct"]
+        )
     margin, waste = F.col("profit_pct"), F.col("wastage_pct")
 
     def in_class(name):

@@ -70,7 +70,8 @@ def label_segments(segments: DataFrame, labels: Sequence[str] = SEGMENT_LABELS)
         .agg((F.sum(cents("monetary")) / F.count("monetary")).alias("mean"))
         .select("prediction", F.row_number().over(richest).alias("segment_rank"))
     )
-    return segments.join(F.broadcast(ranks), "prediction").withColumn("segment", _nth(labels, "segment_rank"))
+    ranked = segments.join(F.broadcast(ranks), "prediction")
+    return ranked.withColumn("segment", _nth(labels, "segment_rank"))
 
 
 def segment_counts(segments: DataFrame) -> DataFrame:

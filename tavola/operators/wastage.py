@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavola.functions.columns import band, cents, money_sum, percent, top_k
-from tavola.functions.filters import completed, sold_lines
+from tavola.functions.filters import sold_lines
 from tavola.functions.fixed import WASTE_BANDS, WASTE_REST
+from tavola.functions.lines import completed_lines
 
 
 def _share(wasted: str, sold: str) -> Column:
@@ -18,17 +19,16 @@ def _share(wasted: str, sold: str) -> Column:
 def wastage_by_item(
     wastage: DataFrame, menu: DataFrame, items: DataFrame, orders: DataFrame
 ) -> DataFrame:
+    return wastage_by_item_of(wastage, menu, completed_lines(items, orders))
+
+
+def wastage_by_item_of(wastage: DataFrame, menu: DataFrame, lines: DataFrame) -> DataFrame:
     """Every menu item with its wastage and its completed sales, zero when none."""
     wasted = wastage.groupBy("item_id").agg(
         F.sum("quantity").alias("total_wasted_qty"),
         money_sum("cost").alias("total_wastage_cost"),
     )
-    sold = (
-        items.select("order_id", "item_id", "quantity")
-        .join(completed(orders).select("order_id"), "order_id")
-        .groupBy("item_id")
-        .agg(F.sum("quantity").alias("total_sold"))
-    )
+    sold = lines.groupBy("item_id").agg(F.sum("quantity").alias("total_sold"))
     return (
         menu.join(wasted, "item_id", "left")
         .join(sold, "item_id", "left")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tavola.functions.lines import completed_lines
 from tavola.operators import (
     anomalies,
     baskets,
@@ -72,6 +73,9 @@ class Workspace:
             raise FileNotFoundError(f"{self.tables}/{name}")
         return found
 
+    def lines(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("completed_lines"))
+
     def path(self, name: str) -> str:
         return f"{self.results}/{name}"
 
@@ -124,12 +128,18 @@ def quality_job(w: Workspace, raw: str | None = None) -> None:
     write_partitioned_orders(orders, w.path("orders_partitioned"))
 
 
+def lines_job(w: Workspace) -> None:
+    """Join lines and completed orders once, for all the results that need both."""
+    w.save("completed_lines", completed_lines(w.table("order_items"), w.table("orders")))
+
+
 def menu_job(w: Workspace) -> None:
-    items, orders, menu = w.table("order_items"), w.table("orders"), w.table("menu_items")
-    classified = w.save("menu_classified", profit.menu_classified(items, orders, menu))
+    items, menu, lines = w.table("order_items"), w.table("menu_items"), w.lines()
+    profitability = w.save("menu_profitability", profit.menu_profitability_of(lines, menu))
+    classified = w.save("menu_classified", profit.classify_quadrant(profitability))
     w.note("class_summary", profit.class_summary(classified))
-    w.save("location_menu", profit.location_menu(items, orders))
-    w.save("location_menu_classified", profit.location_menu_classified(items, orders, menu))
+    w.save("location_menu", profit.location_menu_of(lines))
+    w.save("location_menu_classified", profit.location_menu_classified_of(lines, menu))
     volume = w.save("item_volume", inventory.item_volume(items))
     w.note("top_sellers", inventory.top_sellers_of(volume))
     w.note("low_sellers", inventory.low_sellers_of(volume))
@@ -141,11 +151,11 @@ def menu_job(w: Workspace) -> None:
 
 def operations_job(w: Workspace) -> None:
     items, orders, menu = w.table("order_items"), w.table("orders"), w.table("menu_items")
-    wasted = w.table("wastage")
-    w.save("location_analysis", locations.location_comparison(orders, items, menu, wasted))
+    wasted, lines = w.table("wastage"), w.lines()
+    w.save("location_analysis", locations.location_comparison_of(orders, lines, menu, wasted))
     w.save("channel_analysis", channels.channel_analysis(orders))
-    w.save("channel_detailed", channels.channel_detailed(items, orders))
-    w.save("channel_top_items", channels.channel_item_qty(items, orders))
+    w.save("channel_detailed", channels.channel_detailed_of(lines))
+    w.save("channel_top_items", channels.channel_item_qty_of(lines))
     by_period: dict[str, Callable[[DataFrame], DataFrame]] = {
         "peak_hours": periods.peak_hours,
         "peak_days": periods.peak_days,
@@ -155,7 +165,7 @@ def operations_job(w: Workspace) -> None:
     }
     for name, analyse in by_period.items():
         w.save(name, analyse(orders))
-    w.save("wastage_analysis", wastage.wastage_by_item(wasted, menu, items, orders))
+    w.save("wastage_analysis", wastage.wastage_by_item_of(wasted, menu, lines))
     w.save("wastage_risk", wastage.wastage_risk(wasted, items))
     w.save("wastage_by_location", wastage.wastage_by_location(wasted))
     w.save("wastage_by_category", wastage.wastage_by_category(wasted, menu))
@@ -166,7 +176,7 @@ def operations_job(w: Workspace) -> None:
 def market_job(w: Workspace) -> None:
     """Ratings, promotions, prices and anomalies; needs ``menu_classified``."""
     items, orders, menu = w.table("order_items"), w.table("orders"), w.table("menu_items")
-    scores, promos = w.table("ratings"), w.table("promotions")
+    scores, promos, lines = w.table("ratings"), w.table("promotions"), w.lines()
     classified = w.spark.read.parquet(w.path("menu_classified"))
     w.save("rating_analysis", ratings.rating_analysis(scores))
     w.save("rating_by_location", ratings.rating_by_location(scores, orders))
@@ -176,10 +186,10 @@ def market_job(w: Workspace) -> None:
     w.note("worst_rated", ratings.worst_rated(scores))
     w.save("rating_anomalies", anomalies.rating_anomalies(scores))
     performance = w.save(
-        "promotion_performance", promotions.promotion_performance(items, orders, menu, promos)
+        "promotion_performance", promotions.promotion_performance_of(lines, menu, promos)
     )
     w.save(
-        "nonpromoted_performance", promotions.nonpromoted_performance(items, orders, menu, promos)
+        "nonpromoted_performance", promotions.nonpromoted_performance_of(lines, menu, promos)
     )
     w.save("promo_traps", promotions.promo_traps(performance))
     w.save("promotion_dependency", promotions.promotion_dependency(items, promos))
@@ -191,14 +201,14 @@ def market_job(w: Workspace) -> None:
 
 
 def customer_job(w: Workspace) -> None:
-    items, orders, menu = w.table("order_items"), w.table("orders"), w.table("menu_items")
+    orders, menu, lines = w.table("orders"), w.table("menu_items"), w.lines()
     churn = w.save("churn_risk", customers.churn_risk(orders))
-    diversity = customers.category_diversity(items, orders, menu)
+    diversity = customers.category_diversity_of(lines, menu)
     w.save("churn_enhanced", customers.churn_enhanced(churn, diversity))
-    w.save("repeat_purchase_rate", customers.repeat_purchase_rate(items, orders))
-    ratio = w.save("weekend_ratio", customers.weekend_ratio(items, orders))
+    w.save("repeat_purchase_rate", customers.repeat_purchase_rate_of(lines))
+    ratio = w.save("weekend_ratio", customers.weekend_ratio_of(lines))
     w.save("weekend_only_items", customers.weekend_only_items(ratio))
-    w.save("basket_size", customers.basket_size(items, orders))
+    w.save("basket_size", customers.basket_size_of(lines))
     _, scored = segments.fit_segments(customers.rfm(orders))
     w.note("segment_quality", segments.silhouette(scored))
     labelled = w.save("customer_segments", segments.label_segments(scored.drop("features")))
@@ -209,11 +219,10 @@ def customer_job(w: Workspace) -> None:
 
 
 def basket_job(w: Workspace) -> None:
-    items, orders = w.table("order_items"), w.table("orders")
-    done = baskets.baskets(items, orders)
+    done = baskets.baskets_of(w.lines())
     rules = baskets.association_rules(done, BASKET_SUPPORT, BASKET_CONFIDENCE)
     w.save("basket_rules", rules)
-    sold = w.save("baskets", baskets.baskets(items))
+    sold = w.save("baskets", baskets.baskets(w.table("order_items")))
     model = baskets.fit_itemsets(sold, RULE_SUPPORT, RULE_CONFIDENCE)
     w.save("frequent_itemsets", baskets.itemsets_of(model))
     w.save("association_rules", baskets.rules_of(model))
@@ -221,9 +230,7 @@ def basket_job(w: Workspace) -> None:
 
 
 def forecast_job(w: Workspace) -> None:
-    daily = w.save(
-        "daily_demand", demand.daily_demand(w.table("order_items"), w.table("orders"))
-    )
+    daily = w.save("daily_demand", demand.daily_demand_of(w.lines()))
     models, predictions = demand.train_forecast(demand.demand_features(daily))
     w.note("forecast_models", demand.forecast_metrics(predictions))
     _, best = demand.best_forecast(models, predictions)
@@ -266,6 +273,7 @@ def run_all(spark: SparkSession, raw: str, tables: str, results: str, reports: s
     ingest(spark, raw, tables)
     w = Workspace(spark, tables, results)
     quality_job(w, raw)
+    lines_job(w)
     menu_job(w)
     operations_job(w)
     market_job(w)
