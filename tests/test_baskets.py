@@ -104,7 +104,23 @@ def test_itemsets_and_rules_equal_brute_force(spark):
     assert found.keys() == expected.keys()
     assert all(found[key] == pytest.approx(expected[key]) for key in expected)
 
-    pairs = baskets.pair_rules(frame(spark, sets), 0.1, 0.3).collect()
+    assert_pair_rules(spark, sets, expected, 0.1)
+
+
+def test_pair_rules_below_the_broadcast_support(spark):
+    sets = random_sets(9, 12, [2] * 80)
+    frequent = brute_itemsets(sets, 0.0005)
+    expected = {}
+    for pair, n in ((c, n) for c, n in frequent.items() if len(c) == 2):
+        for left, right in (pair, pair[::-1]):
+            if n / frequent[(left,)] >= 0.3:
+                lift = n / frequent[(left,)] / (frequent[(right,)] / len(sets))
+                expected[(left,), right] = (n / len(sets), n / frequent[(left,)], lift)
+    assert_pair_rules(spark, sets, expected, 0.0005)
+
+
+def assert_pair_rules(spark, sets, expected, support):
+    pairs = baskets.pair_rules(frame(spark, sets), support, 0.3).collect()
     singles = {key: value for key, value in expected.items() if len(key[0]) == 1}
     found = {
         ((r["antecedent"],), r["consequent"]): (r["support"], r["confidence"], r["lift"]) for r in pairs
