@@ -6,8 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import sharding
-from tavola.llm.tables import documents
+from tavola.llm import quality, sharding, warc
+from tavola.llm.tables import documents, pages
+
+
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(pages(spark, folder))
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.digest(documents(spark, folder))
 
 
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,8 +23,15 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_sharding": op10_sharding}
+    return {
+        "op1_warc": op1_warc,
+        "op6_quality_rules": op6_quality_rules,
+        "op10_sharding": op10_sharding,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_warc": warc.SQL,
+        "op6_quality_rules": quality.SQL,
+    }
