@@ -168,17 +168,16 @@ RULES = (
 
 
 def order_rules(
-    measured: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2000
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2000
 ) -> list[Rule]:
-    """Rules by rejection per cost on a sample of ``sample_rows`` rows at most.
+    """Rules by rejection per cost on a sample of about ``sample_rows`` rows.
 
     Cost is the time to evaluate a rule over the sample, less that of an empty pass;
     selectivity the share it rejects. Only speed depends on the outcome.
     """
-    some = measured.where(~F.col("base_failed")).select(
-        "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_bullets", "n_ellipses"
-    )
-    sample = stored(some.sample(0.25, seed=11).limit(sample_rows), "sample")
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    some = measures(docs.select("text").sample(share, seed=11)).where(~F.col("base_failed"))
+    sample = stored(some, "sample")
     total = max(sample.count(), 1)
 
     def timed(column: Column) -> tuple[float, int]:
@@ -205,7 +204,7 @@ def judge(
     have not matched.
     """
     measured = measures(docs)
-    ordered = order_rules(measured, rules, sample_rows)
+    ordered = order_rules(docs, rules, sample_rows)
     cascade = F.when(F.col("base_failed"), F.lit("base"))
     for rule in ordered:
         cascade = cascade.when(rule.rejects(), F.lit(rule.name))
