@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import quality, sharding, warc
+from tavola.llm import bpe, quality, sharding, token_files, warc
 from tavola.llm.tables import documents, pages
 
 
@@ -14,10 +14,18 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(pages(spark, folder))
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(documents(spark, folder))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.digest(documents(spark, folder))
 
 
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digest(documents(spark, folder))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder))
 
@@ -25,7 +33,9 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
+        "op5_token_files": op5_token_files,
         "op6_quality_rules": op6_quality_rules,
+        "op7_bpe": op7_bpe,
         "op10_sharding": op10_sharding,
     }
 
