@@ -1,8 +1,8 @@
 """WARC archives: one record per page, written in range-sorted shards and read back.
 
-Records are sorted by page_id (nulls first), then by digest and url. Shards are ranges of that
-order of about ``shard_bytes`` payload bytes, found from exact byte counts per bin of ids, so
-the same rows give the same shards whatever the cluster. Each task writes its shard as gzip
+Records are sorted by page_id (nulls first), then by digest and url. Shards are ranges of ids of
+about ``shard_bytes`` payload bytes, found from exact byte counts, so the same rows give the
+same shards whatever the cluster. Each task writes its shard as gzip
 members, one per record, and rolls to a new file once the file has ``file_bytes`` compressed
 bytes. Headers and digests are computed anew from the payload. A file is written under a name
 of its attempt and renamed when complete; only files that the manifest lists count, and the
@@ -22,12 +22,12 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tavola.llm.shared import new_folder, stored
@@ -36,7 +36,6 @@ from tavola.llm.shared import new_folder, stored
 DATE = "1970-01-01T00:00:00Z"
 MANIFEST = "shard long, file long, path string, records long, bytes long, sha256 string"
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-BINS = 1 << 12
 
 
 def _text(value: str | None) -> str:
@@ -88,14 +87,16 @@ def record(
 class _Shard:
     """Writes the files of one shard, one after another, in the order of its records."""
 
-    def __init__(self, folder: str, shard: int, file_bytes: int, attempt: int) -> None:
+    def __init__(self, folder: str, shard: int | None, file_bytes: int, attempt: int) -> None:
         self.files, self.root = fs.FileSystem.from_uri(folder)
         self.shard, self.file_bytes, self.attempt = shard, file_bytes, attempt
+        # names in the order of ids; records without an id come first
+        self.name = "0" * 20 if shard is None else f"{shard + (1 << 63) + 1:020d}"
         self.number, self.out, self.done = 0, None, []
 
     def add(self, member: bytes) -> None:
         if self.out is None:
-            self.temporary = f"{self.root}/.{self.shard:08d}-{self.number:05d}.{self.attempt}.tmp"
+            self.temporary = f"{self.root}/.{self.name}-{self.number:05d}.{self.attempt}.tmp"
             self.files.create_dir(self.root, recursive=True)
             self.out = self.files.open_output_stream(self.temporary, compression=None)
             self.records, self.bytes, self.sum = 0, 0, hashlib.sha256()
@@ -112,7 +113,7 @@ class _Shard:
         self.out.close()
         self.out = None
         # equal records give equal files: a second attempt replaces like with like
-        path = f"{self.root}/{self.shard:08d}-{self.number:05d}.warc.gz"
+        path = f"{self.root}/{self.name}-{self.number:05d}.warc.gz"
         self.files.move(self.temporary, path)
         self.done.append((self.shard, self.number, path, self.records, self.bytes, self.sum.hexdigest()))
         self.number += 1
@@ -153,47 +154,61 @@ def _writer(folder: str, file_bytes: int):
     return run
 
 
-def _shard_of(sized: DataFrame, shard_bytes: int) -> Column:
-    """The shard of a row, from bytes per bin of equally wide ranges of ids.
+def _dealer(sized: DataFrame, shard_bytes: int) -> tuple[Callable[[DataFrame], DataFrame], int]:
+    """What adds ``shard``, the first id of a row's shard, to rows with a page_id; the number of
+    shards to expect.
 
-    Bins are refined inside the heaviest ranges until a bin is light or one id wide.
+    Shards are equally wide ranges of ids, as many as the bytes ask for, so that a row's shard
+    is plain arithmetic. Where ids are uneven, a range of more than four times ``shard_bytes``
+    is cut again by its own bytes, all such ranges at once, until none is left or they are one
+    id wide.
     """
-    low, high = sized.agg(F.min("page_id"), F.max("page_id")).first()
+    low, high, total = sized.agg(F.min("page_id"), F.max("page_id"), F.sum("bytes")).first()
     if low is None:
-        return F.lit(0).cast("long")
-    ranges, cuts = [(low, high)], {}
-    while ranges:
-        (a, b), ranges = ranges[0], ranges[1:]
-        width = max(1, -(-(b - a + 1) // BINS))
-        bins = (
-            sized.where(F.col("page_id").between(a, b))
-            .groupBy(F.expr(f"(page_id - {a}) div {width}").alias("bin"))
+        return lambda rows: rows.withColumn("shard", F.lit(None).cast("long")), 1
+    expected = -(-(total or 1) // shard_bytes)
+    width = -(-(high - low + 1) // max(1, expected))
+    whole = F.col("page_id").cast("decimal(20,0)")
+    levels: list[DataFrame] = []
+
+    def deal(rows: DataFrame) -> DataFrame:
+        at = F.floor((whole - F.lit(low)) / F.lit(width).cast("decimal(20,0)")).cast("decimal(20,0)")
+        rows = rows.withColumn("shard", (at * width + low).cast("long")).withColumn("_width", F.lit(width).cast("decimal(20,0)"))
+        for heavy in levels:
+            finer = F.coalesce("_finer", "_width")
+            step = F.floor((whole - F.col("shard")) / finer).cast("decimal(20,0)")
+            rows = (
+                rows.join(heavy, rows["shard"].eqNullSafe(heavy["_heavy"]), "left")
+                .withColumn("shard", F.when(F.col("_finer").isNull(), F.col("shard")).otherwise((F.col("shard") + step * finer).cast("long")))
+                .withColumn("_width", finer)
+                .drop("_heavy", "_finer")
+            )
+        return rows
+
+    while len(levels) < 64:
+        heavy = (
+            deal(sized)
+            .where("shard is not null and _width > 1")
+            .groupBy("shard", "_width")
             .agg(F.sum("bytes").alias("bytes"))
-            .collect()  # BINS rows at most
+            .where(F.col("bytes") > 4 * shard_bytes)
+            .select(
+                F.col("shard").alias("_heavy"),
+                F.ceil(F.col("_width") / F.ceil(F.col("bytes") / shard_bytes)).cast("decimal(20,0)").alias("_finer"),
+            )
         )
-        for row in bins:
-            begin = a + row["bin"] * width
-            if row["bytes"] > shard_bytes and width > 1:
-                ranges.append((begin, min(begin + width - 1, b)))
-            else:
-                cuts[begin] = row["bytes"]
-    starts, total = [], 0
-    for begin in sorted(cuts):
-        if total and total + cuts[begin] > shard_bytes:
-            starts.append(begin)
-            total = 0
-        total += cuts[begin]
-    if not starts:
-        return F.lit(0).cast("long")
-    bounds = F.array(*[F.lit(s).cast("long") for s in starts])
-    return F.size(F.filter(bounds, lambda s: s <= F.col("page_id"))).cast("long")
+        heavy = stored(heavy, "heavy")
+        if heavy.isEmpty():
+            break
+        levels.append(heavy)
+    return (lambda rows: deal(rows).drop("_width")), int(expected)
 
 
 def write_warc(
     pages: DataFrame,
     folder: str,
-    shard_bytes: int = 256 << 20,
-    file_bytes: int = 64 << 20,
+    shard_bytes: int = 64 << 20,
+    file_bytes: int = 16 << 20,
     revisit_bytes: int = 100,
 ) -> DataFrame:
     """Write ``pages`` (page_id, url, html) under ``folder`` and return the manifest.
@@ -209,9 +224,7 @@ def write_warc(
         ),
         "digests",
     )
-    shard = F.when(F.col("page_id").isNull(), F.lit(-1).cast("long")).otherwise(
-        _shard_of(light, shard_bytes)
-    )
+    deal, expected = _dealer(light, shard_bytes)
     twice = (
         light.where(F.col("bytes") >= revisit_bytes)
         .groupBy("digest")
@@ -231,19 +244,13 @@ def write_warc(
         html.alias("html"),
     )
     order = [
-        "shard",
+        F.col("shard").asc_nulls_first(),
         F.col("page_id").asc_nulls_first(),
         "digest",
         F.col("first").asc_nulls_last(),
         F.col("url").asc_nulls_first(),
     ]
-    count = light.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0] // shard_bytes + 2
-    sent = (
-        rows.unionByName(notes)
-        .withColumn("shard", shard)
-        .repartition(int(count), "shard")
-        .sortWithinPartitions(*order)
-    )
+    sent = deal(rows.unionByName(notes)).repartition(expected + 1, "shard").sortWithinPartitions(*order)
     return stored(sent.mapInArrow(_writer(folder, file_bytes), MANIFEST), "manifest")
 
 
