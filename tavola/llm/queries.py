@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import bpe, quality, sharding, token_files, warc
+from tavola.llm import bpe, jaccard, quality, sharding, token_files, warc
 from tavola.llm.tables import documents, pages
 
 
@@ -26,6 +26,10 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(documents(spark, folder))
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.digest(documents(spark, folder))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder))
 
@@ -36,6 +40,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files": op5_token_files,
         "op6_quality_rules": op6_quality_rules,
         "op7_bpe": op7_bpe,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_sharding": op10_sharding,
     }
 
@@ -44,4 +49,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": warc.SQL,
         "op6_quality_rules": quality.SQL,
+        "op9_jaccard_join": jaccard.SQL,
     }

@@ -33,6 +33,8 @@ def _byte_codes(lower: bool) -> np.ndarray:
 
 def text_slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive parts of about ``most`` bytes, one text at least, with their first row."""
+    if not len(texts):
+        return
     texts = texts.cast(pa.large_binary())
     ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[
         texts.offset : texts.offset + len(texts) + 1
