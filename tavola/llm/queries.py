@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import bpe, jaccard, quality, sharding, token_files, warc
+from tavola.llm import bpe, jaccard, linededup, quality, sharding, token_files, warc
 from tavola.llm.tables import documents, pages
 
 
@@ -14,6 +14,10 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(pages(spark, folder))
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.digest(documents(spark, folder))
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(documents(spark, folder))
 
@@ -37,6 +41,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
+        "op3_line_dedup": op3_line_dedup,
         "op5_token_files": op5_token_files,
         "op6_quality_rules": op6_quality_rules,
         "op7_bpe": op7_bpe,
