@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import bpe, jaccard, linededup, quality, sharding, token_files, warc
-from tavola.llm.tables import documents, pages
+from tavola.llm import bpe, decontaminate, jaccard, linededup, quality, sharding, token_files, warc
+from tavola.llm.tables import benchmark, documents, pages
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.digest(documents(spark, folder))
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(documents(spark, folder), benchmark(spark, folder))
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(documents(spark, folder))
 
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
         "op3_line_dedup": op3_line_dedup,
+        "op4_decontamination": op4_decontamination,
         "op5_token_files": op5_token_files,
         "op6_quality_rules": op6_quality_rules,
         "op7_bpe": op7_bpe,

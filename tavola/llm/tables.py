@@ -14,6 +14,10 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/pages.parquet")
 
 
+def benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/benchmark.parquet")
+
+
 def text_key(column: str = "text") -> Column:
     """128 bits that stand for a text; a missing text has a key of its own."""
     text = F.col(column)
