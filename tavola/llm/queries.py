@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import bpe, decontaminate, jaccard, linededup, quality, sharding, token_files, warc
+from tavola.llm import bpe, decontaminate, extraction, jaccard, linededup, quality, sharding, token_files, warc
 from tavola.llm.tables import benchmark, documents, pages
 
 
@@ -34,6 +34,10 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(documents(spark, folder))
 
 
+def op8_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract_pages(pages(spark, folder))
+
+
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.digest(documents(spark, folder))
 
@@ -50,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files": op5_token_files,
         "op6_quality_rules": op6_quality_rules,
         "op7_bpe": op7_bpe,
+        "op8_extraction": op8_extraction,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_sharding": op10_sharding,
     }
@@ -59,5 +64,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": warc.SQL,
         "op6_quality_rules": quality.SQL,
+        "op8_extraction": op8_extraction,
         "op9_jaccard_join": jaccard.SQL,
     }
