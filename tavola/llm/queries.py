@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import bpe, decontaminate, extraction, jaccard, linededup, quality, sharding, token_files, warc
-from tavola.llm.tables import benchmark, documents, pages
+from tavola.llm import bpe, decontaminate, extraction, jaccard, linededup, quality, sharding, token_files, toxicity, warc
+from tavola.llm.tables import benchmark, documents, labels, pages
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(pages(spark, folder))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.fit_and_score(documents(spark, folder), labels(spark, folder))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.digest(documents(spark, folder))
 
@@ -49,6 +53,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
+        "op2_toxicity": op2_toxicity,
         "op3_line_dedup": op3_line_dedup,
         "op4_decontamination": op4_decontamination,
         "op5_token_files": op5_token_files,

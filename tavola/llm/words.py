@@ -47,8 +47,21 @@ def text_slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, p
         first = last
 
 
-def spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of the texts, first and end byte of each word, and the row of each word."""
+def _only_letters() -> np.ndarray:
+    kept = np.arange(256, dtype=np.uint8)
+    for b in range(128):
+        if not chr(b).isalnum():
+            kept[b] = 32
+    return kept
+
+
+def spans(
+    texts: pa.Array, letters: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the texts, first and end byte of each word, and the row of each word.
+
+    With ``letters`` all ASCII characters but letters and digits divide words.
+    """
     texts = texts.cast(pa.large_binary())
     n = len(texts)
     ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + n + 1]
@@ -56,6 +69,8 @@ def spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     data = np.frombuffer(body, dtype=np.uint8) if body is not None else np.zeros(0, np.uint8)
     data = data[ends[0] : ends[-1]]
     ends = ends - ends[0]
+    if letters:
+        data = _only_letters()[data]
     blank = np.ones(len(data) + 1, dtype=bool)
     np.logical_or(data == 32, (data >= 9) & (data <= 13), out=blank[: len(data)])
     starts_word = ~blank[:-1]
