@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavola.llm.shared import new_folder, stored
@@ -154,6 +154,13 @@ def _writer(folder: str, file_bytes: int):
     return run
 
 
+def _floor_to(width: str) -> Column:
+    """The greatest id not above page_id that is a number of widths above ``shard``; ids may lie
+    further apart than a long can say."""
+    far = "(cast(page_id as decimal(20,0)) - cast(shard as decimal(20,0)))"
+    return F.expr(f"cast(shard + cast({far} div {width} as decimal(20,0)) * {width} as long)")
+
+
 def _dealer(sized: DataFrame, shard_bytes: int) -> tuple[Callable[[DataFrame], DataFrame], int]:
     """What adds ``shard``, the first id of a row's shard, to rows with a page_id; the number of
     shards to expect.
@@ -168,19 +175,18 @@ def _dealer(sized: DataFrame, shard_bytes: int) -> tuple[Callable[[DataFrame], D
         return lambda rows: rows.withColumn("shard", F.lit(None).cast("long")), 1
     expected = -(-(total or 1) // shard_bytes)
     width = -(-(high - low + 1) // max(1, expected))
-    whole = F.col("page_id").cast("decimal(20,0)")
+    # ids may lie further apart than a long can say
+    first, step = (F.lit(str(n)).cast("decimal(20,0)") for n in (low, width))
     levels: list[DataFrame] = []
 
     def deal(rows: DataFrame) -> DataFrame:
-        at = F.floor((whole - F.lit(low)) / F.lit(width).cast("decimal(20,0)")).cast("decimal(20,0)")
-        rows = rows.withColumn("shard", (at * width + low).cast("long")).withColumn("_width", F.lit(width).cast("decimal(20,0)"))
+        rows = rows.withColumn("_width", step).withColumn("shard", first)
+        rows = rows.withColumn("shard", _floor_to("_width"))
         for heavy in levels:
-            finer = F.coalesce("_finer", "_width")
-            step = F.floor((whole - F.col("shard")) / finer).cast("decimal(20,0)")
             rows = (
                 rows.join(heavy, rows["shard"].eqNullSafe(heavy["_heavy"]), "left")
-                .withColumn("shard", F.when(F.col("_finer").isNull(), F.col("shard")).otherwise((F.col("shard") + step * finer).cast("long")))
-                .withColumn("_width", finer)
+                .withColumn("_width", F.coalesce("_finer", "_width"))
+                .withColumn("shard", _floor_to("_width"))
                 .drop("_heavy", "_finer")
             )
         return rows
