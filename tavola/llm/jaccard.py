@@ -374,6 +374,8 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, block: int = BLOCK) ->
     )
     member = stored(member, "members")
     ids = member.where("cluster is not null").groupBy("cluster").agg(F.min("doc_id").alias("least"))
+    # written apart, so that a hot component can be split in the join
+    ids = stored(ids, "least")
     return member.join(ids, "cluster", "left").select(
         "doc_id", "part", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
