@@ -167,8 +167,8 @@ def _dealer(sized: DataFrame, shard_bytes: int) -> tuple[Callable[[DataFrame], D
 
     Shards are equally wide ranges of ids, as many as the bytes ask for, so that a row's shard
     is plain arithmetic. Where ids are uneven, a range of more than four times ``shard_bytes``
-    is cut again by its own bytes, all such ranges at once, until none is left or they are one
-    id wide.
+    is cut again, from its least to its greatest id and by its own bytes, all such ranges at
+    once, until none is left or they hold one id each.
     """
     low, high, total = sized.agg(F.min("page_id"), F.max("page_id"), F.sum("bytes")).first()
     if low is None:
@@ -186,21 +186,26 @@ def _dealer(sized: DataFrame, shard_bytes: int) -> tuple[Callable[[DataFrame], D
             rows = (
                 rows.join(heavy, rows["shard"].eqNullSafe(heavy["_heavy"]), "left")
                 .withColumn("_width", F.coalesce("_finer", "_width"))
-                .withColumn("shard", _floor_to("_width"))
-                .drop("_heavy", "_finer")
+                .withColumn("shard", F.coalesce("_base", "shard"))
+                .withColumn("shard", F.when(F.col("_finer").isNull(), F.col("shard")).otherwise(_floor_to("_width")))
+                .drop("_heavy", "_base", "_finer")
             )
         return rows
 
     while len(levels) < 64:
         heavy = (
             deal(sized)
-            .where("shard is not null and _width > 1")
-            .groupBy("shard", "_width")
-            .agg(F.sum("bytes").alias("bytes"))
-            .where(F.col("bytes") > 4 * shard_bytes)
+            .where("shard is not null")
+            .groupBy("shard")
+            .agg(F.sum("bytes").alias("bytes"), F.min("page_id").alias("_base"), F.max("page_id").alias("top"))
+            .where((F.col("bytes") > 4 * shard_bytes) & (F.col("top") > F.col("_base")))
             .select(
                 F.col("shard").alias("_heavy"),
-                F.ceil(F.col("_width") / F.ceil(F.col("bytes") / shard_bytes)).cast("decimal(20,0)").alias("_finer"),
+                "_base",
+                F.expr(
+                    "cast((cast(top as decimal(20,0)) - cast(_base as decimal(20,0)))"
+                    f" div ceil(bytes / {shard_bytes}) + 1 as decimal(20,0))"
+                ).alias("_finer"),
             )
         )
         heavy = stored(heavy, "heavy")
@@ -268,10 +273,14 @@ def records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
             plain.append(unpacker.decompress(chunk))
             chunk = unpacker.unused_data
             if unpacker.eof:
-                head, _, block = b"".join(plain).partition(b"\r\n\r\n")
-                lines = head.decode().split("\r\n")
-                headers = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
-                yield headers, block[: int(headers["Content-Length"])]
+                rest = b"".join(plain)
+                while rest:  # one record in our files; a member may hold more
+                    head, _, rest = rest.partition(b"\r\n\r\n")
+                    lines = head.decode().split("\r\n")
+                    headers = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
+                    size = int(headers["Content-Length"])
+                    yield headers, rest[:size]
+                    rest = rest[size + 4 :]
                 unpacker, plain = zlib.decompressobj(31), []
 
 
@@ -290,12 +299,13 @@ def _reader(folder: str):
              ("record_type", pa.string()), ("refers_to", pa.int64())]
         )
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                out = []
+            for path, count in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist()):
+                out, seen = [], 0
                 for headers, block in records(_chunks(path, files)):
                     digest = hashlib.sha256(block).hexdigest()
                     if headers["WARC-Block-Digest"] != f"sha256:{digest}":
                         raise ValueError(f"a block of {path} does not match its digest")
+                    seen += 1
                     response = headers["WARC-Type"] == "response"
                     out.append((
                         int(headers["X-Page-ID"]) if headers["X-Page-ID"] else None,
@@ -307,6 +317,8 @@ def _reader(folder: str):
                     if len(out) == 10_000:
                         yield pa.RecordBatch.from_pylist([dict(zip(names, x)) for x in out], schema)
                         out = []
+                if seen != count:
+                    raise ValueError(f"{path} holds {seen} records of {count}")
                 if out:
                     yield pa.RecordBatch.from_pylist([dict(zip(names, x)) for x in out], schema)
 
@@ -316,7 +328,7 @@ def _reader(folder: str):
 def read_warc(manifest: DataFrame, folder: str) -> DataFrame:
     """The records of the files in ``manifest``, files dealt evenly to tasks."""
     n = max(1, manifest.count())
-    return manifest.select("path").repartitionByRange(n, "path").mapInArrow(_reader(folder), READ)
+    return manifest.select("path", "records").repartitionByRange(n, "path").mapInArrow(_reader(folder), READ)
 
 
 def round_trip(pages: DataFrame, **limits: int) -> DataFrame:
