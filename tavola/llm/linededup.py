@@ -170,7 +170,8 @@ def cleaned(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     copies = later_copies(docs.select("doc_id", "text"), min_words).select(
         F.col("doc_id").alias("_id"), F.col("part").alias("_part"), F.col("gone").alias("_lines")
     )
-    copies = stored(copies, "copies")
+    # what is deleted grows with the corpus: it is never broadcast
+    copies = stored(copies, "copies").hint("merge")
     joined = docs.join(
         copies, docs["doc_id"].eqNullSafe(copies["_id"]) & (F.xxhash64(docs["text"]) == copies["_part"]), "left"
     )
