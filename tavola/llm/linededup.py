@@ -60,7 +60,8 @@ def _repeated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Numbers of the documents in order, and the places of lines that occur at least twice."""
     lines = stored(_lines(docs).distinct(), "lines")
     often = lines.groupBy("r0").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("r0")
-    places = lines.join(often, "r0")
+    # written apart, so that a hot line can be split in the join
+    places = lines.join(stored(often, "often"), "r0")
     places = stored(places, "repeated")
     numbers = (
         places.select(F.col("doc_id").alias("id"), F.col("part").alias("of"))
@@ -150,7 +151,7 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.min(F.struct("doc", "start")).alias("kept"), F.count(F.lit(1)).alias("n")
     )
     again = (
-        named.join(firsts.where("n > 1"), interval)
+        named.join(stored(firsts.where("n > 1"), "firsts"), interval)
         .where(F.struct("doc", "start") != F.col("kept"))
         .select("doc", F.explode(F.sequence("start", F.col("start") + F.col("l") - 1)).alias("seq"))
         .distinct()
