@@ -404,6 +404,8 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         .select(F.col("doc_id").alias("_id"), F.col("part").alias("_part"))
         .distinct()
     )
+    # what goes grows with the corpus: it is never broadcast
+    out = stored(out, "out").hint("merge")
     return docs.join(
         out, docs["doc_id"].eqNullSafe(out["_id"]) & (text_key() == out["_part"]), "left_anti"
     )
