@@ -69,6 +69,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": warc.SQL,
         "op6_quality_rules": quality.SQL,
-        "op8_extraction": op8_extraction,
         "op9_jaccard_join": jaccard.SQL,
     }
