@@ -1,9 +1,9 @@
 """Column expressions used by more than one operator.
 
-Money is summed in whole cents held in a ``bigint``. Integer addition gives the
-same total whatever the partitioning, and stays in generated code, where summing
-``decimal(18,2)`` is several times slower. The total of one group must stay below
-9.2e16 money units; beyond that ANSI mode raises instead of wrapping.
+Money is summed exactly, as two integers: whole units and millionths. Integer
+addition gives the same total whatever the partitioning, and stays in generated
+code, where summing decimals is several times slower. Rounding comes once, after
+the sum. Digits beyond the sixth of a single value are rounded off.
 """
 
 from __future__ import annotations
@@ -24,23 +24,31 @@ def cents(x: str | Column) -> Column:
     return F.rint(as_column(x) * 100).cast("bigint")
 
 
+def exact_sum(x: str | Column) -> Column:
+    """Sum as ``decimal(38,6)``; partial sums of it can be added up again."""
+    value = as_column(x)
+    millionths = F.rint((value - F.floor(value)) * 1e6).cast("bigint")
+    whole = F.sum(F.floor(value)).cast("decimal(28,0)")
+    rest = F.sum(millionths).cast("decimal(28,0)") * F.lit("0.000001").cast("decimal(6,6)")
+    return (whole + rest).cast("decimal(38,6)")
+
+
+def in_cents(total: Column) -> Column:
+    """An exact total rounded half up to two digits, as a double."""
+    return F.round(total, 2).cast("double")
+
+
 def money_sum(x: str | Column) -> Column:
-    return F.sum(cents(x)) / F.lit(100.0)
+    return in_cents(exact_sum(x))
 
 
 def money_avg(x: str | Column) -> Column:
-    return F.try_divide(F.sum(cents(x)), F.count(as_column(x))) / F.lit(100.0)
-
+    return F.try_divide(exact_sum(x).cast("double"), F.count(as_column(x)))
 
-def exact_avg(x: str | Column) -> Column:
-    """Average of values taken to six digits, the same whatever the row order.
 
-    Whole parts and millionths are added as integers, each far from overflow.
-    """
-    value = as_column(x)
-    millionths = F.floor((value - F.floor(value)) * 1e6 + 0.5)
-    total = F.sum(F.floor(value)) + F.sum(millionths) / F.lit(1e6)
-    return F.try_divide(total, F.count(value))
+def six_digit_avg(x: str | Column) -> Column:
+    """Average rounded to six digits, which hides the order of addition."""
+    return F.round(F.avg(as_column(x)), 6)
 
 
 def percent(part: str | Column, whole: str | Column) -> Column:
@@ -80,15 +88,17 @@ def one_row_to_rows(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.unpivot([], list(df.columns), key, value)
 
 
-def share_shuffle(df: DataFrame, *counts: str) -> DataFrame:
+def share_shuffle(df: DataFrame, *counts: str, measures: Iterable[str] = ()) -> DataFrame:
     """``df`` for a scalar average beside ``df`` itself.
 
-    A count is never negative, so no row goes. But naming the counts keeps them in
-    the plan of the average, which then equals the plan of ``df`` up to its shuffle,
-    and Spark shuffles once for both.
+    A count is never negative and a measure never below minus infinity, so no row
+    goes. But naming them keeps them in the plan of the average, which then equals the
+    plan of ``df`` up to its shuffle, and Spark shuffles once for both.
     """
     for name in counts:
         df = df.filter(F.col(name) >= 0)
+    for name in measures:
+        df = df.filter(F.coalesce(F.col(name), F.lit(0.0)) > F.lit(float("-inf")))
     return df
 
 

@@ -10,10 +10,6 @@ from tavola.functions.columns import top_k
 from tavola.functions.filters import completed, sold_lines
 
 
-# From this support on, the frequent items are few enough to broadcast.
-BROADCAST_SUPPORT = 0.001
-
-
 def baskets(items: DataFrame, orders: DataFrame | None = None, min_size: int = 2) -> DataFrame:
     """The set of items of each order, sorted, for orders of ``min_size`` items.
 
@@ -101,8 +97,7 @@ def pair_rules(basket_rows: DataFrame, min_support: float, min_confidence: float
     Baskets are cut to the frequent items before pairs are made. That loses no
     rule, and at most mean basket size divided by ``min_support`` items are left.
     The number of baskets comes out of the item counts, as that of a null item.
-    From a support of 0.001 the bound is a thousand mean baskets, which is sent to
-    all executors, so baskets stay where they are; below, Spark chooses the join.
+    Spark chooses the join by the size of what is left.
     """
     marked = F.concat("items", F.array(F.lit(None)))
     counts = (
@@ -113,8 +108,6 @@ def pair_rules(basket_rows: DataFrame, min_support: float, min_confidence: float
     total = counts.filter(F.col("item").isNull()).select("freq").scalar()
     least = F.ceil(total * F.lit(min_support))
     singles = counts.filter(F.col("item").isNotNull() & (F.col("freq") >= least))
-    if min_support >= BROADCAST_SUPPORT:
-        singles = F.broadcast(singles)
     trimmed = (
         basket_rows.select("order_id", F.explode("items").alias("item"))
         .join(singles.select("item"), "item", "left_semi")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import band, day, money_sum, weekend_flag
+from tavola.functions.columns import band, day, money_sum, share_shuffle, weekend_flag
 from tavola.functions.filters import completed, paid, sold_lines
 from tavola.functions.fixed import CHURN_BANDS, CHURN_REST
 from tavola.functions.lines import completed_lines, sold_and_paid
@@ -19,42 +19,44 @@ def rfm(orders: DataFrame, as_of: date | None = None, offset_days: int = 0) -> D
     Recency is counted from ``as_of`` (by default the last order date of all
     customers) plus ``offset_days``.
     """
-    done = completed(orders)
-    latest = F.lit(as_of) if as_of is not None else done.agg(F.max(day("order_date"))).scalar()
-    return done.groupBy("customer_id").agg(
-        F.date_diff(F.date_add(latest, offset_days), F.max(day("order_date"))).alias("recency"),
-        F.count("*").alias("frequency"),
+    each = _per_customer(completed(orders), F.max(day("order_date")), F.count("*"))
+    latest = F.lit(as_of) if as_of is not None else _latest(each)
+    recency = F.date_diff(F.date_add(latest, offset_days), F.col("last_order"))
+    return each.select("customer_id", recency.alias("recency"), "frequency", "monetary")
+
+
+def _per_customer(orders: DataFrame, last_order: Column, frequency: Column) -> DataFrame:
+    return orders.groupBy("customer_id").agg(
+        last_order.alias("last_order"),
+        frequency.alias("frequency"),
         money_sum("total_amount").alias("monetary"),
     )
 
 
+def _latest(each: DataFrame) -> Column:
+    """The last order of all customers, from the shuffle that ``each`` makes anyway."""
+    shared = share_shuffle(each, "frequency", measures=("monetary",))
+    return shared.agg(F.max("last_order")).scalar()
+
+
 def rfm_elapsed(orders: DataFrame) -> DataFrame:
     """RFM over paid orders, recency in full days from one day after the last order.
 
     The time of day counts here: a day has passed after 24 hours.
     """
     done = paid(orders).filter(F.col("customer_id").isNotNull())
-    latest = done.agg(F.max("order_date")).scalar()
-    passed = F.timestamp_diff("DAY", F.max("order_date"), latest)
-    return done.groupBy("customer_id").agg(
-        (passed + 1).cast("int").alias("recency"),
-        F.count("order_id").alias("frequency"),
-        money_sum("total_amount").alias("monetary"),
+    each = _per_customer(done, F.max("order_date"), F.count("order_id"))
+    passed = F.timestamp_diff("DAY", F.col("last_order"), _latest(each))
+    return each.select(
+        "customer_id", (passed + 1).cast("int").alias("recency"), "frequency", "monetary"
     )
 
 
 def churn_risk(orders: DataFrame) -> DataFrame:
     """Days since the last paid order, and its risk class."""
-    done = paid(orders)
-    latest = done.agg(F.max(day("order_date"))).scalar()
+    each = _per_customer(paid(orders), F.max(day("order_date")), F.count("order_id"))
     return (
-        done.groupBy("customer_id")
-        .agg(
-            F.max(day("order_date")).alias("last_order"),
-            F.count("order_id").alias("frequency"),
-            money_sum("total_amount").alias("monetary"),
-        )
-        .withColumn("recency", F.date_diff(latest, F.col("last_order")))
+        each.withColumn("recency", F.date_diff(_latest(each), F.col("last_order")))
         .withColumn("churn_risk", band("recency", CHURN_BANDS, CHURN_REST))
     )
 
@@ -76,6 +78,7 @@ def category_diversity_of(lines: DataFrame, menu: DataFrame) -> DataFrame:
     return (
         sold_and_paid(lines)
         .select("customer_id", "item_id")
+        .distinct()
         .join(menu.select("item_id", "category"), "item_id")
         .groupBy("customer_id")
         .agg(F.countDistinct("category").alias("category_diversity"))

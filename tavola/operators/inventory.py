@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import top_k
+from tavola.functions.columns import share_shuffle, top_k
 from tavola.functions.filters import sold_lines
 from tavola.functions.fixed import REORDER_NOW, STOCK_MONITOR, STOCK_SUFFICIENT
 
@@ -59,7 +59,7 @@ def _named(volume: DataFrame, menu: DataFrame) -> DataFrame:
 def slow_moving_threshold(items: DataFrame, menu: DataFrame, frac: float = 0.5) -> DataFrame:
     """Items that sell less than ``frac`` of the average item."""
     volume = item_volume(items)
-    average = volume.agg(F.avg("total_qty")).scalar()
+    average = share_shuffle(volume, "order_count").agg(F.avg("total_qty")).scalar()
     return _named(volume.filter(F.col("total_qty") < average * frac), menu)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import cents, money_avg, money_sum, percent, top_k
+from tavola.functions.columns import exact_sum, in_cents, money_avg, money_sum, percent, top_k
 from tavola.functions.filters import completed
 from tavola.functions.lines import completed_lines
 
@@ -32,11 +32,11 @@ def location_comparison_of(
     )
     profit = (
         lines.groupBy("location_id", "item_id")
-        .agg(F.sum("quantity").alias("qty"), F.sum(cents("line_total")).alias("line_cents"))
+        .agg(F.sum("quantity").alias("qty"), exact_sum("line_total").alias("line_sum"))
         .join(menu.select("item_id", "cost"), "item_id")
         .groupBy("location_id")
         .agg(
-            (F.sum("line_cents") / F.lit(100.0)).alias("gross_revenue"),
+            in_cents(F.sum("line_sum")).alias("gross_revenue"),
             money_sum(F.col("qty") * F.col("cost")).alias("total_cost"),
         )
         .withColumn("profit", F.round(F.col("gross_revenue") - F.col("total_cost"), 2))

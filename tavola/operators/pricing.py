@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import band, exact_avg, top_k
+from tavola.functions.columns import band, six_digit_avg, top_k
 from tavola.functions.fixed import PRICE_BANDS, PRICE_REST
 
 
@@ -16,10 +16,10 @@ def price_sensitivity(items: DataFrame, pricing: DataFrame) -> DataFrame:
     """
     sales = items.groupBy("item_id").agg(
         F.sum("quantity").alias("qty_sold"),
-        exact_avg("unit_price").alias("avg_selling_price"),
+        six_digit_avg("unit_price").alias("avg_selling_price"),
     )
     history = pricing.groupBy("item_id").agg(
-        exact_avg("new_price").alias("avg_price"),
+        six_digit_avg("new_price").alias("avg_price"),
         F.count("price_id").alias("num_price_changes"),
     )
     gap = F.try_divide(F.col("avg_selling_price") - F.col("avg_price"), F.col("avg_price")) * 100

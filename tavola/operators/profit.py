@@ -61,8 +61,12 @@ def menu_profitability_of(lines: DataFrame, menu: DataFrame) -> DataFrame:
 
 
 def _quadrant(sells: Column, earns: Column) -> Column:
-    return F.when(sells, F.when(earns, PROFIT_DRIVER).otherwise(VOLUME_DRIVER)).otherwise(
-        F.when(earns, HIDDEN_OPPORTUNITY).otherwise(LOW_PERFORMER)
+    """The four classes in order; an unknown quantity or margin passes no test."""
+    return (
+        F.when(sells & earns, PROFIT_DRIVER)
+        .when(sells & ~earns, VOLUME_DRIVER)
+        .when(~sells & earns, HIDDEN_OPPORTUNITY)
+        .otherwise(LOW_PERFORMER)
     )
 
 

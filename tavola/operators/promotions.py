@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import cents, day, percent
+from tavola.functions.columns import day, exact_sum, in_cents, percent
 from tavola.functions.filters import sold_lines
 from tavola.functions.lines import completed_lines
 
@@ -14,10 +14,10 @@ def _performance(
     lines: DataFrame, menu: DataFrame, promotions: DataFrame, how: str
 ) -> DataFrame:
     sales = lines.groupBy("item_id").agg(
-        F.sum("quantity").alias("qty_sold"), F.sum(cents("line_total")).alias("line_cents")
+        F.sum("quantity").alias("qty_sold"), exact_sum("line_total").alias("line_sum")
     )
     promoted = promotions.select("item_id").distinct()
-    revenue = F.col("line_cents") / F.lit(100.0)
+    revenue = in_cents(F.col("line_sum"))
     return (
         sales.join(promoted, "item_id", how)
         .join(menu.select("item_id", "cost"), "item_id")

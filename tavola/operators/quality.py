@@ -145,16 +145,23 @@ def quality_report(
 def _one_per_order(orders: DataFrame) -> DataFrame:
     """One row per order id with its copy count.
 
-    The copy that sorts first by date and then by the other columns stays. It is a
-    minimum and not a window, so copies of a hot id shrink on the map side.
+    Repeated ids are found on the ids alone. Only their rows are compared: the copy that
+    sorts first by date and then by the other columns stays. It is a minimum and not a
+    window, so copies of a hot id shrink on the map side. All other rows stay as they are.
     """
     rest = [c for c in orders.columns if c not in ("order_id", "order_date")]
+    ids = orders.groupBy(F.col("order_id").alias("_id")).agg(F.count("*").alias("copies"))
+    repeated = ids.filter(F.col("copies") > 1)
+    same = F.col("order_id").eqNullSafe(F.col("_id"))
+    single = orders.join(repeated, same, "left_anti").withColumn("copies", F.lit(1).cast("bigint"))
     first = F.min(F.struct("order_date", *rest))
-    return (
-        orders.groupBy("order_id")
+    folded = (
+        orders.join(repeated, same, "left_semi")
+        .groupBy("order_id")
         .agg(first.alias("kept"), F.count("*").alias("copies"))
         .select("order_id", "kept.*", "copies")
     )
+    return single.unionByName(folded)
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:

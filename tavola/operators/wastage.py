@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import band, cents, money_sum, percent, top_k
+from tavola.functions.columns import band, exact_sum, in_cents, money_sum, percent, top_k
 from tavola.functions.filters import sold_lines
 from tavola.functions.fixed import WASTE_BANDS, WASTE_REST
 from tavola.functions.lines import completed_lines
@@ -50,14 +50,14 @@ def wastage_by_location(wastage: DataFrame) -> DataFrame:
 def wastage_by_category(wastage: DataFrame, menu: DataFrame) -> DataFrame:
     """Reduced to items first, so a hot item is one row in the menu join."""
     per_item = wastage.groupBy("item_id").agg(
-        F.sum("quantity").alias("qty"), F.sum(cents("cost")).alias("cost_cents")
+        F.sum("quantity").alias("qty"), exact_sum("cost").alias("cost_sum")
     )
     return (
         per_item.join(menu.select("item_id", "category"), "item_id")
         .groupBy("category")
         .agg(
             F.sum("qty").alias("total_qty"),
-            (F.sum("cost_cents") / F.lit(100.0)).alias("total_cost"),
+            in_cents(F.sum("cost_sum")).alias("total_cost"),
         )
     )
 

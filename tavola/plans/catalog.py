@@ -46,7 +46,7 @@ FILTER_CATEGORIES = ("ECONOMY", "SMALL")
 PRICE_CHANGE = 10
 TRAP_QTY, TRAP_MARGIN = 300, 0.45
 SLOW_FRACTION = 0.7
-ANOMALY_RATINGS, ANOMALY_STD = 40, 1.3
+ANOMALY_RATINGS, ANOMALY_STD = 3, 1.3
 TRICKY = {
     "high_qty": 300,
     "low_qty": 180,
@@ -262,8 +262,8 @@ QUERIES: dict[str, Callable[[StarTables], DataFrame]] = {
     "rating_by_location": lambda t: ratings.rating_by_location(t.ratings(), t.located_orders()),
     "rating_vs_profit": lambda t: ratings.rating_vs_profit(t.ratings(), _classified(t)),
     "rating_by_promotion": lambda t: ratings.rating_by_promotion(t.ratings(), t.promotions()),
-    "best_rated": lambda t: ratings.best_rated(t.ratings()),
-    "worst_rated": lambda t: ratings.worst_rated(t.ratings()),
+    "best_rated": lambda t: ratings.best_rated(t.ratings(), more_than=2),
+    "worst_rated": lambda t: ratings.worst_rated(t.ratings(), more_than=2),
     "rating_anomalies": lambda t: anomalies.rating_anomalies(
         t.ratings(), ANOMALY_RATINGS, ANOMALY_STD
     ),

@@ -1,7 +1,7 @@
 """The same queries in ANSI SQL, for an independent engine to check against.
 
-Money is summed as ``decimal(18,2)`` here and in whole cents by the operators, and
-ratios are rounded half up from their decimal text, so exact halves agree too.
+Money is summed as ``decimal(28,6)`` here and in whole units and millionths by the
+operators, and rounded after the sum; ratios are rounded half up from their decimal text, so exact halves agree too.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ _VIEWS = {
         c.c_nationkey AS location_id, o.o_orderdate AS order_date, o.o_orderpriority AS channel,
         o.o_totalprice AS total_amount,
         CASE o.o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'P' THEN 'Cancelled' ELSE 'Open' END AS status
-        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
+        FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",
     "m_order_items": """SELECT l_orderkey * 10 + l_linenumber AS order_line_id, l_orderkey AS order_id,
         l_partkey AS item_id, CAST(l_quantity AS INT) AS quantity,
         l_extendedprice / l_quantity AS unit_price, l_extendedprice AS line_total FROM lineitem""",
@@ -21,8 +21,8 @@ _VIEWS = {
         c_mktsegment AS preferred_channel FROM customer""",
     "m_restaurants": """SELECT n_nationkey AS location_id, n_name AS location_name, r_name AS city,
         TRUE AS is_active FROM nation JOIN region ON n_regionkey = r_regionkey""",
-    "m_ratings": """SELECT event_id AS rating_id, event_id % 1500 AS order_id, user_id AS customer_id,
-        event_id % 200 AS item_id, 1 + CAST(LEAST(4, FLOOR(value / 25)) AS INT) AS rating,
+    "m_ratings": """SELECT event_id AS rating_id, event_id % (SELECT MAX(o_orderkey) + 1 FROM orders) AS order_id, user_id AS customer_id,
+        event_id % (SELECT MAX(p_partkey) + 1 FROM part) AS item_id, 1 + CAST(LEAST(4, FLOOR(value / 25)) AS INT) AS rating,
         ts AS rating_date FROM events""",
     "m_event_orders": """SELECT event_id AS order_id, user_id AS customer_id, ts AS order_date,
         event_type AS channel, value AS total_amount, 'Completed' AS status FROM events""",
@@ -31,20 +31,19 @@ _VIEWS = {
         CAST(l_shipdate AS DATE) AS wastage_date,
         CASE l_orderkey % 5 WHEN 0 THEN 'Expired' WHEN 1 THEN 'Overproduction' WHEN 2 THEN 'Damaged'
         WHEN 3 THEN 'Customer Return' ELSE 'Prep Error' END AS reason
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-        WHERE l_returnflag = 'R' AND l_linenumber = 1""",
+        FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R'""",
     "m_pricing_history": """SELECT l_orderkey * 10 + l_linenumber AS price_id, l_partkey AS item_id,
         p_retailprice AS old_price, l_extendedprice / l_quantity AS new_price,
-        CAST(l_shipdate AS DATE) AS change_date FROM lineitem JOIN part ON l_partkey = p_partkey
-        WHERE l_returnflag = 'N' AND l_linenumber = 2""",
+        CAST(l_shipdate AS DATE) AS change_date FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+        WHERE l_returnflag = 'N'""",
     "m_promotions": """SELECT l_orderkey * 10 + l_linenumber AS promo_id, l_partkey AS item_id,
         CAST(ROUND(l_discount * 100) AS INT) AS discount_pct, CAST(l_shipdate AS DATE) AS start_date,
         CAST(CAST(l_shipdate AS DATE) + INTERVAL '60' DAY AS DATE) AS end_date FROM lineitem
-        WHERE l_discount >= 0.10 AND l_linenumber = 1""",
+        WHERE l_discount >= 0.10""",
     "m_inventory": """SELECT s_nationkey AS location_id, l_partkey AS item_id,
         3 * CAST(SUM(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END) AS BIGINT) AS stock_qty,
-        MAX(p_size) + 20 AS reorder_level FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-        JOIN part ON l_partkey = p_partkey GROUP BY s_nationkey, l_partkey""",
+        MAX(p_size) + 20 AS reorder_level FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+        LEFT JOIN part ON l_partkey = p_partkey GROUP BY s_nationkey, l_partkey""",
 }
 
 _COLUMNS = {
@@ -73,23 +72,16 @@ def _r(x: str, digits: int = 2) -> str:
 
 
 def _money(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
-
-
-def _cents_avg(x: str) -> str:
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,2)) * 100) AS DOUBLE) / COUNT({x}))"
+    return f"CAST(ROUND(SUM(CAST({x} AS DECIMAL(28,6))), 2) AS DOUBLE)"
 
 
 def _money_avg(x: str) -> str:
-    return f"{_cents_avg(x)} / 100"
+    return f"(CAST(SUM(CAST({x} AS DECIMAL(28,6))) AS DOUBLE) / COUNT({x}))"
 
 
 def _six_avg(x: str) -> str:
-    """Average of values taken to six digits, whole parts and millionths apart."""
-    return (
-        f"(SUM(FLOOR({x})) + SUM(FLOOR(({x} - FLOOR({x})) * CAST(1e6 AS DOUBLE) + 0.5)) "
-        f"/ CAST(1e6 AS DOUBLE)) / COUNT({x})"
-    )
+    """Average rounded to six digits."""
+    return f"ROUND(AVG({x}), 6)"
 
 
 def _int_sum(x: str) -> str:
@@ -103,8 +95,9 @@ def _pct(part: str, whole: str) -> str:
 def _quadrant(qty_test: str, margin_test: str) -> str:
     return (
         f"CASE WHEN {qty_test} AND {margin_test} THEN 'Profit Driver' "
-        f"WHEN {qty_test} THEN 'Volume Driver' "
-        f"WHEN {margin_test} THEN 'Hidden Opportunity' ELSE 'Low Performer' END"
+        f"WHEN {qty_test} AND NOT ({margin_test}) THEN 'Volume Driver' "
+        f"WHEN NOT ({qty_test}) AND {margin_test} THEN 'Hidden Opportunity' "
+        "ELSE 'Low Performer' END"
     )
 
 
@@ -122,7 +115,7 @@ _STEPS = {
         CAST(rev AS DOUBLE) AS revenue, order_count, {_margin_columns("rev", "spent")}
         FROM (SELECT *, ROUND(qty_sold * CAST(cost AS DECIMAL(18,2)), 2) AS spent FROM (
           SELECT m.item_id, m.item_name, m.category, m.cost, m.base_price,
-            {_int_sum("i.quantity")} AS qty_sold, SUM(CAST(i.line_total AS DECIMAL(18,2))) AS rev,
+            {_int_sum("i.quantity")} AS qty_sold, ROUND(SUM(CAST(i.line_total AS DECIMAL(28,6))), 2) AS rev,
             COUNT(i.order_id) AS order_count
           FROM m_order_items i JOIN m_orders o ON i.order_id = o.order_id
           JOIN m_menu_items m ON i.item_id = m.item_id
@@ -145,8 +138,8 @@ _STEPS = {
           FROM m_orders WHERE {_DONE} GROUP BY location_id)
         LEFT JOIN (SELECT location_id, CAST(rev AS DOUBLE) AS gross_revenue,
             CAST(spent AS DOUBLE) AS total_cost, CAST(rev - spent AS DOUBLE) AS profit
-          FROM (SELECT o.location_id, SUM(CAST(i.line_total AS DECIMAL(18,2))) AS rev,
-              SUM(CAST(i.quantity * m.cost AS DECIMAL(18,2))) AS spent
+          FROM (SELECT o.location_id, ROUND(SUM(CAST(i.line_total AS DECIMAL(28,6))), 2) AS rev,
+              ROUND(SUM(CAST(i.quantity * m.cost AS DECIMAL(28,6))), 2) AS spent
             FROM m_order_items i JOIN m_orders o ON i.order_id = o.order_id
             JOIN m_menu_items m ON i.item_id = m.item_id WHERE {_DONE} GROUP BY o.location_id))
           USING (location_id)
@@ -210,7 +203,7 @@ _STEPS = {
         FROM m_order_items JOIN m_orders USING (order_id)
         WHERE quantity > 0 AND {_PAID} GROUP BY item_id""",
     "rated": """SELECT item_id, AVG(rating) AS avg_rating, COUNT(rating) AS total_ratings
-        FROM m_ratings GROUP BY item_id HAVING COUNT(rating) > 10""",
+        FROM m_ratings GROUP BY item_id HAVING COUNT(rating) > 2""",
     "sold": f"""SELECT item_id, {_int_sum("quantity")} AS total_qty, COUNT(order_id) AS order_count
         FROM m_order_items WHERE quantity > 0 GROUP BY item_id""",
     "recommended": """SELECT *, CASE
@@ -449,15 +442,15 @@ _BODIES = {
         profit_pct, avg_qty, avg_profit, {_quadrant(
             "qty_sold >= avg_qty", "CAST(profit_pct AS DECIMAL(18,2)) * items >= margins")} AS loc_class
         FROM (SELECT *, AVG(qty_sold) OVER (PARTITION BY location_id) AS avg_qty,
-            CAST(SUM(CAST(profit_pct AS DECIMAL(18,2)) * 100) OVER (PARTITION BY location_id) AS DOUBLE)
-              / COUNT(*) OVER (PARTITION BY location_id) / 100 AS avg_profit,
+            CAST(SUM(CAST(profit_pct AS DECIMAL(28,6))) OVER (PARTITION BY location_id) AS DOUBLE)
+              / COUNT(*) OVER (PARTITION BY location_id) AS avg_profit,
             COUNT(*) OVER (PARTITION BY location_id) AS items,
             SUM(CAST(profit_pct AS DECIMAL(18,2))) OVER (PARTITION BY location_id) AS margins
           FROM (SELECT location_id, item_id, qty_sold, CAST(rev AS DOUBLE) AS revenue,
               {_margin_columns("rev", "spent")}
             FROM (SELECT o.location_id, i.item_id, {_int_sum("i.quantity")} AS qty_sold,
-                SUM(CAST(i.line_total AS DECIMAL(18,2))) AS rev,
-                SUM(CAST(i.quantity * m.cost AS DECIMAL(18,2))) AS spent
+                ROUND(SUM(CAST(i.line_total AS DECIMAL(28,6))), 2) AS rev,
+                ROUND(SUM(CAST(i.quantity * m.cost AS DECIMAL(28,6))), 2) AS spent
               FROM m_order_items i JOIN m_orders o ON i.order_id = o.order_id
               JOIN m_menu_items m ON i.item_id = m.item_id
               WHERE i.quantity > 0 AND {_PAID} GROUP BY o.location_id, i.item_id)))""",
@@ -518,7 +511,7 @@ _BODIES = {
     "worst_rated": "SELECT * FROM rated ORDER BY avg_rating, item_id LIMIT 10",
     "rating_anomalies": f"""SELECT * FROM (SELECT item_id, AVG(rating) AS avg_rating,
         COUNT(rating) AS rating_count, {_r("STDDEV_SAMP(rating)", 6)} AS rating_std
-        FROM m_ratings GROUP BY item_id) WHERE rating_count > 40 AND rating_std < 1.3""",
+        FROM m_ratings GROUP BY item_id) WHERE rating_count > 3 AND rating_std < 1.3""",
     "promotion_performance": """SELECT * FROM promo_lines
         WHERE item_id IN (SELECT item_id FROM m_promotions)""",
     "nonpromoted_performance": """SELECT * FROM promo_lines

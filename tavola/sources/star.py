@@ -8,20 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
 from tavola.functions.fixed import CANCELLED, COMPLETED
 
-# The events table has no order or item, so they are dealt to the
-# smallest number of orders and items that any data set of this schema has.
-EVENT_ORDERS = 1500
-EVENT_ITEMS = 200
-
 # Wastage reasons by order key, dealt in this order.
 REASONS = ("Expired", "Overproduction", "Damaged", "Customer Return", "Prep Error")
 
-_schemas: dict[str, StructType] = {}
-
 
 class StarTables:
     """Retail tables over ``<folder>/<name>.parquet``."""
@@ -29,12 +20,13 @@ class StarTables:
     def __init__(self, spark: SparkSession, folder: str):
         self._spark = spark
         self._folder = folder.rstrip("/")
+        self._schemas = {}
 
     def raw(self, name: str) -> DataFrame:
         path = f"{self._folder}/{name}.parquet"
-        if path not in _schemas:
-            _schemas[path] = self._spark.read.parquet(path).schema
-        return self._spark.read.schema(_schemas[path]).parquet(path)
+        if path not in self._schemas:
+            self._schemas[path] = self._spark.read.parquet(path).schema
+        return self._spark.read.schema(self._schemas[path]).parquet(path)
 
     def orders(self) -> DataFrame:
         status = F.col("o_orderstatus")
@@ -57,7 +49,7 @@ class StarTables:
         )
         return (
             self.orders()
-            .join(homes, "customer_id")
+            .join(homes, "customer_id", "left")
             .select(
                 "order_id",
                 "customer_id",
@@ -116,12 +108,17 @@ class StarTables:
             )
         )
 
+    def _dealt(self, table: str, key: str):
+        """The table of events has no order or item: they are dealt over all keys."""
+        keys = self.raw(table).agg(F.max(key) + 1).scalar()
+        return F.try_mod(F.col("event_id"), keys)
+
     def ratings(self) -> DataFrame:
         return self.raw("events").select(
             F.col("event_id").alias("rating_id"),
-            (F.col("event_id") % EVENT_ORDERS).alias("order_id"),
+            self._dealt("orders", "o_orderkey").alias("order_id"),
             F.col("user_id").alias("customer_id"),
-            (F.col("event_id") % EVENT_ITEMS).alias("item_id"),
+            self._dealt("part", "p_partkey").alias("item_id"),
             (F.least(F.lit(4), F.floor(F.col("value") / 25)).cast("int") + 1).alias("rating"),
             F.col("ts").alias("rating_date"),
         )
@@ -143,9 +140,7 @@ class StarTables:
         )
 
     def _wasted(self) -> DataFrame:
-        return self.raw("lineitem").filter(
-            (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
-        )
+        return self.raw("lineitem").filter(F.col("l_returnflag") == "R")
 
     def _wastage_columns(self) -> list:
         kind = F.col("l_orderkey") % len(REASONS) + 1
@@ -164,7 +159,7 @@ class StarTables:
     def located_wastage(self) -> DataFrame:
         return (
             self._wasted()
-            .join(self._suppliers(), "l_suppkey")
+            .join(self._suppliers(), "l_suppkey", "left")
             .select(*self._wastage_columns(), "location_id")
         )
 
@@ -172,7 +167,7 @@ class StarTables:
         """Price changes; the old price, which no analysis reads, is left out."""
         return (
             self.raw("lineitem")
-            .filter((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 2))
+            .filter(F.col("l_returnflag") == "N")
             .select(
                 self._line_id().alias("price_id"),
                 F.col("l_partkey").alias("item_id"),
@@ -185,7 +180,7 @@ class StarTables:
         start = F.col("l_shipdate").cast("date")
         return (
             self.raw("lineitem")
-            .filter((F.col("l_discount") >= 0.10) & (F.col("l_linenumber") == 1))
+            .filter(F.col("l_discount") >= 0.10)
             .select(
                 self._line_id().alias("promo_id"),
                 F.col("l_partkey").alias("item_id"),
@@ -196,7 +191,8 @@ class StarTables:
         )
 
     def inventory(self) -> DataFrame:
-        """Open quantity per location and item; the item size joins the aggregate."""
+        """Open quantity per location and item. Lines are summed per supplier and item
+        before they meet either table; unknown ones stay."""
         open_qty = F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(0.0)
         sizes = self.raw("part").select(
             F.col("p_partkey").alias("item_id"), (F.col("p_size") + 20).alias("reorder_level")
@@ -204,8 +200,10 @@ class StarTables:
         return (
             self.raw("lineitem")
             .select("l_suppkey", F.col("l_partkey").alias("item_id"), open_qty.alias("open_qty"))
-            .join(self._suppliers(), "l_suppkey")
+            .groupBy("l_suppkey", "item_id")
+            .agg(F.sum("open_qty").alias("open_qty"))
+            .join(self._suppliers(), "l_suppkey", "left")
             .groupBy("location_id", "item_id")
             .agg((F.sum("open_qty").cast("bigint") * 3).alias("stock_qty"))
-            .join(sizes, "item_id")
+            .join(sizes, "item_id", "left")
         )
