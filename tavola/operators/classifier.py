@@ -17,7 +17,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.sources.checkpoints import materialize
+from tavola.sources.checkpoints import laid_out
 
 FEATURES = ("qty_sold", "profit_pct", "revenue", "cost")
 METRICS = {
@@ -37,19 +37,25 @@ def classifiers(seed: int = 42) -> dict[str, Estimator]:
 
 
 def train_menu_classifier(
-    classified: DataFrame, seed: int = 42
+    classified: DataFrame, seed: int = 42, partitions: int = 8
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit the three classifiers on 80 % of the items and score the others.
 
+    Items are split by a hash of their id and laid out in ``partitions`` parts, so the
+    models do not depend on the session's partitioning.
+
     Returns the models and ``(model, accuracy, f1, precision, recall,
     training_records, test_records, best)``; best by F1, ties by name. Each model
     scores the test items once, into counts per (label, prediction).
     """
     spark = classified.sparkSession
-    items = materialize(classified.select("item_id", "performance_class", *FEATURES))
+    items = laid_out(
+        classified.select("item_id", "performance_class", *FEATURES), "item_id", partitions
+    )
     indexer = StringIndexer(inputCol="performance_class", outputCol="label").fit(items)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    train, test = items.randomSplit([0.8, 0.2], seed=seed)
+    fifth = F.pmod(F.xxhash64("item_id", F.lit(seed)), F.lit(5))
+    train, test = items.filter(fifth < 4), items.filter(fifth == 4)
     models, rows = {}, []
     for name, estimator in classifiers(seed).items():
         models[name] = Pipeline(stages=[indexer, assembler, estimator]).fit(train)

@@ -14,27 +14,39 @@ from pyspark.sql.window import Window
 
 from tavola.functions.columns import as_column, cents, money_avg
 from tavola.functions.fixed import SEGMENT_LABELS, SEGMENT_STRATEGIES
-from tavola.sources.checkpoints import materialize
+from tavola.sources.checkpoints import laid_out
 
 MEASURES = ("recency", "frequency", "monetary")
 
 
-def fit_segments(rfm: DataFrame, k: int = 5, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+def fit_segments(
+    rfm: DataFrame, k: int = 5, seed: int = 42, starts: int = 3, partitions: int = 8
+) -> tuple[PipelineModel, DataFrame]:
     """Standardise R, F and M and cluster them; returns the model and scored rows.
 
+    The best of ``starts`` seeds by cost. Customers are laid out in ``partitions`` parts by
+    their id, so that the clusters do not depend on the session's partitioning.
+
     The customers are materialised once, because the scaler, every k-means pass
     and the scoring would each compute the aggregation again.
     """
-    customers = materialize(
-        rfm.select("customer_id", *MEASURES).fillna(0, subset=list(MEASURES))
+    customers = laid_out(
+        rfm.select("customer_id", *MEASURES).fillna(0, subset=list(MEASURES)),
+        "customer_id",
+        partitions,
     )
     stages = [
         VectorAssembler(inputCols=list(MEASURES), outputCol="measures"),
         StandardScaler(inputCol="measures", outputCol="features", withMean=True, withStd=True),
-        KMeans(featuresCol="features", k=k, seed=seed),
     ]
-    model = Pipeline(stages=stages).fit(customers)
-    return model, model.transform(customers).drop("measures")
+    scaling = Pipeline(stages=stages).fit(customers)
+    scaled = scaling.transform(customers)
+    fits = [
+        KMeans(featuresCol="features", k=k, seed=seed + start).fit(scaled) for start in range(starts)
+    ]
+    best = min(fits, key=lambda fit: fit.summary.trainingCost)
+    model = PipelineModel(stages=[*scaling.stages, best])
+    return model, best.transform(scaled).drop("measures")
 
 
 def kmeans_segments(rfm: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:

@@ -30,3 +30,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def laid_out(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """``df`` materialised in ``partitions`` parts by a hash of ``key``, in order inside them.
+
+    Model fits draw per part, so a fixed layout makes them repeatable whatever the
+    session's number of shuffle partitions.
+    """
+    return materialize(df.repartition(partitions, key).sortWithinPartitions(key))
