@@ -5,11 +5,12 @@
 2. *Meeting.* Two sets of sizes a and b link when their difference has at most
    d = (1 - t) / (1 + t) * (a + b) shingles. The space of hashes is cut into more than d equal
    ranges: two linked sets agree on at least one range, shingle for shingle. A row per range
-   and set goes to its key; sets that share a key are near each other, and the components of
-   that relation are the groups in which links are looked for. Nothing is lost: the number of
-   ranges follows from the sizes (classes of sizes by the factor t, each set in its own class
-   and the next), and empty ranges count only for sets that have more of them than the spare
-   ranges make up for.
+   and set goes to its key; sets that share as many keys as linked sets must are near each
+   other, and the components of that relation are the groups in which links are looked for.
+   Nothing is lost: the number of ranges follows from the sizes (classes of sizes by the factor
+   t, each set in its own class and the next), empty ranges count only for sets that have more
+   of them than the spare ranges make up for, and a key of very many sets puts them all together
+   instead of counting for each pair.
 3. *Join.* In a group the ordered sets form a prefix tree. All sets of a block walk down the
    tree of another block together, level by level; sets with a common prefix are one node and
    share the overlap found so far. A subtree is left when the overlap so far and what remains
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 
 from tavola.llm import words
 from tavola.llm.components import components
+from tavola.llm.pieces import expand
 from tavola.llm.shared import stored
 from tavola.llm.tables import text_key
 
@@ -108,7 +110,7 @@ def _classes(n: int):
 
 
 def _keys(n: int, percent: int):
-    """A row (key, cls) for each range of each set, once for each set that a task meets."""
+    """A row (key, cls, need) for each range of each set, once for each set that a task meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = np.array(size_classes(percent), dtype=np.int64)
@@ -116,7 +118,7 @@ def _keys(n: int, percent: int):
         for _, _, rows, value, of in _slices(batches, n):
             size, name = _class_of(value, of, rows)
             begin = np.cumsum(size) - size
-            keys, of_class = [], []
+            keys, of_class, needs = [], [], []
             for k in np.flatnonzero(size):
                 cls = int(name[k])
                 if cls in seen:
@@ -126,28 +128,40 @@ def _keys(n: int, percent: int):
                 own = int(np.searchsorted(low, size[k], side="right")) - 1
                 # pairs of own class and the next meet in the space of the larger class
                 for c in (own, own + 1):
-                    keys.append(_range_keys(members, c, *ranges_for(int(low[c + 1]) - 1, percent)))
-                    of_class.append(np.full(len(keys[-1]), cls, dtype=np.int64))
+                    made, need = _range_keys(members, c, *ranges_for(int(low[c + 1]) - 1, percent))
+                    keys.append(made)
+                    of_class.append(np.full(len(made), cls, dtype=np.int64))
+                    needs.append(np.full(len(made), need, dtype=np.int32))
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(of_class))],
-                    names=["key", "cls"],
+                    [
+                        pa.array(np.concatenate(keys).view(np.int64)),
+                        pa.array(np.concatenate(of_class)),
+                        pa.array(np.concatenate(needs)),
+                    ],
+                    names=["key", "cls", "need"],
                 )
 
     return run
 
 
-def _range_keys(members: np.ndarray, c: int, count: int, spare: int) -> np.ndarray:
-    """One key for each range with shingles; for empty ranges too if too many are empty."""
+def _range_keys(members: np.ndarray, c: int, count: int, spare: int) -> tuple[np.ndarray, int]:
+    """One key for each range with shingles, for empty ranges too if too many are empty; and how
+    many keys at least a linked set shares with this one.
+
+    Linked sets agree on ``spare`` + 1 ranges or more, of which no more are empty than are empty
+    here.
+    """
     where = ((members >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
     start = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
     total = np.add.reduceat(words.mix(members), start)
     space = words.mix(np.array([c + 1], dtype=np.uint64))
     keys = words.mix(total + words.mix(where[start] + space))
-    if count - len(start) > spare:
-        empty = np.setdiff1d(np.arange(count, dtype=np.uint64), where[start])
-        keys = np.append(keys, words.mix(words.mix(empty + space)))
-    return keys
+    empty = count - len(start)
+    if empty <= spare:
+        return keys, spare + 1 - empty
+    none = np.setdiff1d(np.arange(count, dtype=np.uint64), where[start])
+    return np.append(keys, words.mix(words.mix(none + space))), 1
 
 
 def tree_links(
@@ -290,45 +304,79 @@ def _join_blocks(n: int, percent: int):
     return run
 
 
+#: Keys of more classes than this join them all; those of fewer count for each pair.
+HOT = 64
+
+
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in order of (key, cls): each other class of a key, with the least one."""
-    last_key = last_cls = least = None
+    """From rows in order of (key, cls): pairs (a, b) with the keys that they share and the keys
+    that they need. A key of many classes puts all of them with the least one, at no need."""
+    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+    hot_key = hot_least = None
+
+    def pairs(key, cls, need):
+        nonlocal hot_key, hot_least
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
+        key, cls, need = key[new], cls[new], need[new]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(start, len(key)))
+        end = np.repeat(start + size, size)
+        many = np.repeat(size > HOT, size)
+        if hot_key is not None and key[0] == hot_key:
+            many[: size[0]] = True
+        least = np.repeat(cls[start], size)
+        if hot_key is not None and key[0] == hot_key:
+            least[: size[0]] = hot_least
+        if many[-1]:
+            hot_key, hot_least = key[-1], least[-1]
+        star = many & (cls != least)
+        here = np.flatnonzero(~many)
+        left = np.repeat(here, end[here] - here - 1)
+        right = expand(here + 1, end[here])
+        a = np.concatenate([least[star], cls[left]])
+        b = np.concatenate([cls[star], cls[right]])
+        shares = np.concatenate([np.zeros(int(star.sum()), np.int32), np.maximum(need[left], need[right])])
+        order = np.lexsort((b, a))
+        a, b, shares = a[order], b[order], shares[order]
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else order
+        count = np.diff(np.append(first, len(a)))
+        # no need of a hot key holds for the pair whatever its other keys ask for
+        free = np.minimum.reduceat(shares, first) == 0 if len(a) else np.zeros(0, bool)
+        wanted = np.maximum.reduceat(shares, first) if len(a) else np.zeros(0, np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a[first]), pa.array(b[first]), pa.array(count.astype(np.int64)), pa.array(wanted), pa.array(free)],
+            names=["a", "b", "shared", "need", "free"],
+        )
+
     for batch in batches:
-        key, cls = (batch.column(c).to_numpy() for c in ("key", "cls"))
-        if not len(key):
+        rows = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("key", "cls", "need"))]
+        if not len(rows[0]):
             continue
-        new = np.ones(len(key), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        repeat = np.zeros(len(key), dtype=bool)
-        repeat[1:] = ~new[1:] & (cls[1:] == cls[:-1])
-        carried = last_key is not None and key[0] == last_key
-        start = np.flatnonzero(new)
-        lo = np.repeat(cls[start], np.diff(np.append(start, len(key))))
-        if carried:
-            lo[: start[1] if len(start) > 1 else len(key)] = least
-            repeat[0] = cls[0] == last_cls
-        keep = (cls != lo) & ~repeat
-        last_key, last_cls, least = key[-1], cls[-1], lo[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(cls[keep]), pa.array(lo[keep])], names=["a", "b"])
+        # the last key may go on: its classes wait, unless they are many already
+        last = int(np.searchsorted(rows[0], rows[0][-1]))
+        _, once = np.unique(rows[1][last:], return_index=True)
+        held = [r[last:][once] for r in rows]
+        if len(once) > HOT:
+            last = len(rows[0])
+            held = [h[:0] for h in held]
+        if last:
+            yield pairs(*(r[:last] for r in rows))
+    if len(held[0]):
+        yield pairs(*held)
 
 
 def _groups(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """Components of the sets that share a key: node (a class) and root."""
-    keyed = rows.select("text").mapInArrow(_keys(n, percent), "key long, cls long")
+    """Components of the sets that share enough keys: node (a class) and root."""
+    keyed = rows.select("text").mapInArrow(_keys(n, percent), "key long, cls long, need int")
     met = keyed.repartition("key").sortWithinPartitions("key", "cls")
-    return components(met.mapInArrow(_edges, "a long, b long"))
-
-
-def _check_class(n: int):
-    """The rows whose text has the set that is asked for: ids may repeat."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, first, rows, value, of in _slices(batches, n):
-            _, name = _class_of(value, of, rows)
-            part = batch.slice(first, rows)
-            yield part.filter(pa.array(part.column("cls").to_numpy() == name))
-
-    return run
+    pairs = met.mapInArrow(_edges, "a long, b long, shared long, need int, free boolean")
+    enough = (
+        pairs.groupBy("a", "b")
+        .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"), F.max("free").alias("free"))
+        .where(F.col("free") | (F.col("shared") >= F.col("need")))
+    )
+    return components(enough.select("a", "b"))
 
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90, block: int = BLOCK) -> DataFrame:
@@ -404,8 +452,7 @@ def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         .select(F.col("doc_id").alias("_id"), F.col("part").alias("_part"))
         .distinct()
     )
-    # what goes grows with the corpus: it is never broadcast
-    out = stored(out, "out").hint("merge")
+    out = stored(out, "out")
     return docs.join(
         out, docs["doc_id"].eqNullSafe(out["_id"]) & (text_key() == out["_part"]), "left_anti"
     )

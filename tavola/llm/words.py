@@ -125,7 +125,7 @@ def shingles(hashed: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, n
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     rows, start, count = np.unique(row, return_index=True, return_counts=True)
     total = np.zeros(len(hashed), dtype=np.uint64)
-    for k in range(n):
+    for k in range(min(n, len(hashed))):
         total[: len(hashed) - k] += hashed[k:] * _FACTORS[k]
     inside = np.zeros(len(hashed), dtype=bool)
     if len(hashed) >= n:

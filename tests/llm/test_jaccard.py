@@ -51,8 +51,9 @@ def corpus(rng, size):
     return docs
 
 
-@pytest.mark.parametrize("n, percent, block", [(3, 90, 256), (5, 80, 256), (3, 80, 4)])
-def test_equals_brute_force(spark, docs_of, n, percent, block):
+@pytest.mark.parametrize("n, percent, block, hot", [(3, 90, 256, 64), (5, 80, 256, 64), (3, 80, 4, 2)])
+def test_equals_brute_force(spark, docs_of, monkeypatch, n, percent, block, hot):
+    monkeypatch.setattr(jaccard, "HOT", hot)
     docs = corpus(random.Random(n + percent), 150) + [(900, None), (901, ""), (902, " \n "), (903, "W1"), (904, "w1")]
     random.Random(1).shuffle(docs)
     rows = jaccard.join(docs_of(docs), n, percent, block).collect()
@@ -69,7 +70,7 @@ def test_tree_and_keys_lose_no_link(percent):
     def keys(s):
         own = int(np.searchsorted(low, len(s), side="right")) - 1
         made = [jaccard._range_keys(s, c, *jaccard.ranges_for(int(low[c + 1]) - 1, percent)) for c in (own, own + 1)]
-        return set(np.concatenate(made).tolist())
+        return {(k, need) for some, need in made for k in some.tolist()}
 
     for _ in range(25):
         base = [rng.integers(0, 1 << 63, int(rng.integers(1, 80)), dtype=np.uint64) for _ in range(5)]
@@ -90,8 +91,10 @@ def test_tree_and_keys_lose_no_link(percent):
             if 100 * len(np.intersect1d(sets[a], sets[b])) >= percent * len(np.union1d(sets[a], sets[b]))
         }
         assert set(zip(x.tolist(), y.tolist())) == links and len(x) == len(links)
-        made = [keys(s) for s in sets]
-        assert all(made[a] & made[b] for a, b in links)
+        made = [dict(keys(s)) for s in sets]
+        for a, b in links:
+            both = made[a].keys() & made[b].keys()
+            assert len(both) >= max(max(made[a][k], made[b][k]) for k in both)
 
 
 def test_edge_rows(spark, docs_of):
