@@ -217,16 +217,18 @@ def find(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, as they are, in whose text no item is found."""
+    # plain names inside: a column may have a dot in its name
+    names, at = docs.columns, docs.columns.index("text")
+    kept = docs.toDF(*[f"c{k}" for k in range(len(names))])
     for index in _indexes(benchmark, percent):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, dtype=bool)
-                texts = batch.column(batch.schema.names.index("text")).cast(pa.large_string())
-                for row, *_ in shared.value.scan(texts):
+                for row, *_ in shared.value.scan(batch.column(at).cast(pa.large_string())):
                     keep[row] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        kept = kept.mapInArrow(run, kept.schema)
+    return kept.toDF(*names)
