@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from tavola.plans import catalog, oracle
 
 FOLDER = f"{compare.DATA}/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -5,18 +5,16 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 import compare
 from tavola.functions.filters import paid, sold_lines
 from tavola.operators import customers, profit
+from tavola.plans import catalog, oracle
 from tavola.sources.star import StarTables
 
 FOLDER = f"{compare.DATA}/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.oracle_sql()
 # These fit models while the frame is built, so only their results are checked.
 LAZY = sorted(set(ORACLE) - {"frequent_itemsets", "top_itemsets", "association_rules", "top_rules"})
-# The frequent items are broadcast on purpose: the support bounds their number.
-BOUNDED = {"pair_rules"}
 BY_DATE = {"demand_features", "demand_features_dom", "demand_split", "forecast_error"}
 
 
@@ -38,9 +36,9 @@ def plan(frame):
 @pytest.mark.parametrize("name", LAZY)
 def test_joins_are_on_keys_and_nothing_leaves_the_jvm(spark, no_broadcast, name):
     text = plan(QUERIES[name](spark, FOLDER))
-    unwanted = {"CartesianProduct", "NestedLoopJoin", "Python", "InPandas"}
-    if name not in BOUNDED:
-        unwanted.add("BroadcastHashJoin")
+    unwanted = {
+        "CartesianProduct", "NestedLoopJoin", "BroadcastHashJoin", "Python", "InPandas"
+    }
     assert not [word for word in unwanted if word in text]
     if name not in BY_DATE:
         assert not re.search(r"\bWindow\b", text)
