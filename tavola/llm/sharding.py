@@ -2,9 +2,12 @@
 
 Karmarkar-Karp differencing: a partial partition is a list of ``shards`` bins. Two partial
 partitions are combined by adding the largest bin of one to the smallest of the other, and so
-on; the two with the largest spread come first. Groups are dealt to chunks of a few thousand,
-each chunk is differenced in its own task, and the partial partitions that are left, one per
-chunk, are differenced in turn, until one is left. Rows then look up the bin of their group.
+on; the two with the largest spread come first. Groups of at least ``1 / chunk`` of all bytes
+(there are ``chunk`` at most) are differenced first. The others are dealt to chunks of a few
+thousand, and each chunk is differenced in its own task together with its share, by bytes, of
+the partition of the heavy groups: it puts less where these put more. The partial partitions
+that are left, one per chunk, are differenced in turn in the same way, until one is left. Rows
+then look up the bin of their group.
 
 Rows: nothing is dropped. A missing text has size 1 and forms a group with the other missing
 texts; an empty text also has size 1 but is another group. Repeated rows are rows of the same
@@ -66,12 +69,18 @@ def difference(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return merged_sizes[last], np.stack([place[k] for k in range(n)])
 
 
-def _difference_chunk(shards: int):
+def _difference_chunk(shards: int, heavy: list[int], light: int):
+    """Difference a chunk and its share of ``heavy``, the bins of the heavy groups beside ``light``
+    other bytes; the bins of the outcome are named as those of ``heavy``."""
     bins = [f"b{k}" for k in range(shards)]
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("part", kind="stable")
-        _, places = difference(frame[bins].to_numpy(np.int64))
+        parts = frame[bins].to_numpy(np.int64)
+        weight = int(parts.sum())
+        share = np.array([size * weight // light for size in heavy], dtype=np.int64)
+        _, places = difference(np.vstack([share, parts]))
+        places = np.argsort(places[0])[places[1:]]
         out = pd.DataFrame(places.astype(np.int32), columns=[f"p{k}" for k in range(shards)])
         out.insert(0, "part", frame["part"].to_numpy())
         out.insert(1, "chunk", frame["chunk"].to_numpy())
@@ -83,9 +92,11 @@ def _difference_chunk(shards: int):
 
 
 def shard_groups(groups: DataFrame, shards: int, chunk: int = CHUNK) -> DataFrame:
-    """The shard of each group of ``groups`` (part: string key, size: long).
+    """The shard of each group of ``groups`` (part: string key, size: long, above 0).
 
-    Each level deals the parts to chunks by a hash of their key, so a chunk holds about
+    A group heavier than the others of its chunk could not be offset inside the chunk, so the
+    heavy groups have a task of their own, and every chunk offsets its share of what they leave
+    uneven. Any other group is less than ``shards / chunk`` of an equal share. Each level deals the parts to chunks by a hash of their key, so a chunk holds about
     ``chunk`` parts whatever their number; the levels are as many as the logarithm of the
     number of groups to the base ``chunk``.
     """
@@ -93,9 +104,23 @@ def shard_groups(groups: DataFrame, shards: int, chunk: int = CHUNK) -> DataFram
     schema = "part string, chunk string, " + ", ".join(
         [f"p{k} int" for k in range(shards)] + [f"b{k} long" for k in range(shards)]
     )
-    level = groups.select(
+    parts = groups.select(
         "part", F.col("size").alias("b0"), *[F.lit(0).cast("long").alias(b) for b in bins[1:]]
     )
+    total = parts.agg(F.sum("b0")).first()[0] or 0
+    is_heavy = F.col("b0") >= -(-total // chunk)
+    level = parts.where(~is_heavy)
+    heavies = stored(
+        parts.where(is_heavy)
+        .withColumn("chunk", F.lit("heavy"))
+        .groupBy("chunk")
+        .applyInPandas(_difference_chunk(shards, [0] * shards, 1), schema),
+        "heavy",
+    ).select("part", F.col("p0").alias("shard"), "b0")
+    heavy = [0] * shards
+    for shard, size in heavies.groupBy("shard").agg(F.sum("b0")).collect():
+        heavy[shard] = size
+    light = total - sum(heavy)
     placed = []
     count = level.count()
     while count:
@@ -104,7 +129,7 @@ def shard_groups(groups: DataFrame, shards: int, chunk: int = CHUNK) -> DataFram
             "chunk", F.pmod(F.xxhash64("part", F.lit(len(placed))), F.lit(chunks)).cast("string")
         )
         done = stored(
-            dealt.groupBy("chunk").applyInPandas(_difference_chunk(shards), schema), "shards"
+            dealt.groupBy("chunk").applyInPandas(_difference_chunk(shards, heavy, light), schema), "shards"
         )
         placed.append(done.drop(*bins))
         if chunks == 1:
@@ -122,8 +147,9 @@ def shard_groups(groups: DataFrame, shards: int, chunk: int = CHUNK) -> DataFram
             ]
         )
         count = chunks
+    heavies = heavies.select("part", "shard")
     if not placed:
-        return groups.select("part", F.lit(0).alias("shard")).limit(0)
+        return heavies
     found = placed[0].select("part", "chunk", F.col("p0").alias("shard"))
     for upper in placed[1:]:
         up = upper.select(
@@ -134,7 +160,7 @@ def shard_groups(groups: DataFrame, shards: int, chunk: int = CHUNK) -> DataFram
         found = found.join(up, found["chunk"] == up["_chunk"]).select(
             "part", F.col("_next").alias("chunk"), F.get("_to", F.col("shard")).alias("shard")
         )
-    return found.select("part", "shard")
+    return found.select("part", "shard").union(heavies)
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, chunk: int = CHUNK) -> DataFrame:
@@ -150,7 +176,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, chunk: int = CHUNK) -> Dat
         text_key().alias("part"),
     )
     rows = stored(rows, "sizes")
-    groups = rows.groupBy("part").agg(F.sum("size").alias("size"))
+    groups = stored(rows.groupBy("part").agg(F.sum("size").alias("size")), "groups")
     placed = rows.join(shard_groups(groups, shards, chunk), "part")
     # slots: ranges of ids are numbered in their own tasks, then shifted by what lies before
     lane = F.coalesce(F.shiftright("doc_id", 12), F.lit(-(1 << 62)))

@@ -59,3 +59,20 @@ def test_hot_group(spark, docs_of):
 
 def test_empty_table(spark, docs_of):
     assert sharding.shard_documents(docs_of([(1, "x")]).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("percent", (3, 10, 33))
+def test_a_heavy_group_is_offset_by_all_chunks(spark, percent):
+    rng = random.Random(percent)
+    sizes = {f"g{k}": rng.randint(500, 20_000) for k in range(3000)}
+    sizes["heavy"] = sum(sizes.values()) * percent // (100 - percent)
+    groups = spark.createDataFrame(list(sizes.items()), "part string, size long")
+    rows = sharding.shard_groups(groups, 8, chunk=64).collect()
+    assert sorted(r["part"] for r in rows) == sorted(sizes)
+    total = [0] * 8
+    for r in rows:
+        total[r["shard"]] += sizes[r["part"]]
+    share = sum(total) / 8
+    assert max(total) <= max(1.001 * share, sizes["heavy"])
+    others = sorted(total)[: 7 if sizes["heavy"] > share else 8]
+    assert others[-1] - others[0] <= 0.002 * share
