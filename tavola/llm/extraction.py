@@ -10,7 +10,9 @@ extracted. Potentials of both kinds are trained together in numpy, from labelled
 A block's text has its character references decoded, white space turned into single spaces and
 its ends trimmed; blocks are joined in page order by a line feed. What a browser would not show
 (scripts, styles, the head) and controls are no part of the tree. Missing end tags are implied
-as browsers do for paragraphs, list items and table cells.
+as browsers do for paragraphs, list items, table cells and the head. Another hidden element that
+is not closed ends with the block that holds it, a control also at the next section; scripts,
+styles and what else is raw text run to their own end tag.
 
 Rows: a missing or empty html gives an empty text. Repeated rows are extracted alike, other
 columns are not read, and an empty table gives an empty result.
@@ -35,12 +37,16 @@ SCHEMA = "page_id long, url string, text string, n_chars long"
 #: Elements by their part in a page (fixed values of HTML).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset(
-    "head script style noscript template svg math iframe object canvas audio video select textarea button datalist".split()
+    "head title script style noscript template svg math iframe object canvas audio video select textarea button datalist".split()
 )
 BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd nav header footer aside form fieldset "
     "table thead tbody tfoot tr td th caption blockquote pre figure figcaption address details summary hgroup".split()
 )
+#: Start tags that may stand in a head, controls, and what no control may hold.
+HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+CONTROL = frozenset("select textarea button datalist".split())
+SECTION = frozenset("article main section nav header footer aside".split())
 #: A start tag of the key ends an open element of the values, up to the nearest of the stops.
 ENDS = {
     "li": ({"li"}, {"ul", "ol"}),
@@ -85,9 +91,7 @@ class _Tree(HTMLParser):
             self.text = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if self.hidden:
-            if tag == self.hidden[-1] and tag not in VOID:
-                self.hidden.append(tag)
+        if self.hidden and self.stays_hidden(tag):
             return
         if tag in HIDDEN:
             self.hidden.append(tag)
@@ -112,6 +116,27 @@ class _Tree(HTMLParser):
         self.open.append((tag, len(self.blocks)))
         self.blocks.append(block)
 
+    def stays_hidden(self, tag: str) -> bool:
+        """Whether a start tag is inside what is hidden, after what it ends has been ended."""
+        hidden = self.hidden
+        if tag == "body" and all(name != "body" for name, _ in self.open):
+            hidden.clear()
+        elif tag in SECTION and all(name in CONTROL or name not in HIDDEN for name in hidden):
+            hidden.clear()
+        elif tag in ("button", "select") and tag in hidden:
+            self.unhide(tag)
+        if hidden and hidden[-1] == "title":
+            hidden.pop()
+        if hidden and hidden[-1] == "head" and tag not in HEAD:
+            hidden.pop()
+        if hidden and tag not in ("html", "head") and (tag in HIDDEN or tag in BLOCK):
+            hidden.append(tag)
+        return bool(hidden)
+
+    def unhide(self, tag: str) -> None:
+        """Close the innermost ``tag`` inside what is hidden."""
+        del self.hidden[len(self.hidden) - 1 - self.hidden[::-1].index(tag) :]
+
     def end_up_to(self, tags: set[str], stops: set[str] | frozenset[str]) -> None:
         """Close the innermost open element of ``tags`` above the nearest of ``stops``."""
         for k in range(len(self.open) - 1, 0, -1):
@@ -128,9 +153,12 @@ class _Tree(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if self.hidden:
-            if tag == self.hidden[-1]:
-                self.hidden.pop()
-            return
+            if tag in self.hidden:
+                self.unhide(tag)
+                return
+            if tag not in BLOCK or all(name != tag for name, _ in self.open):
+                return
+            self.hidden.clear()
         inline = tag not in BLOCK
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k][0] == tag:
@@ -144,6 +172,8 @@ class _Tree(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.hidden == ["head"] and data.strip():
+            self.hidden.clear()
         if self.hidden:
             return
         self.text.append(data)

@@ -71,3 +71,37 @@ def test_edge_rows(spark):
     got = sorted(((r["page_id"], r["text"], r["n_chars"]) for r in extraction.extract_pages(frame).collect()), key=str)
     assert got == sorted([(1, "", 0), (None, "", 0), (2, "", 0), (2, "deep text here", 14)], key=str)
     assert extraction.extract_pages(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "before, inside",
+    (
+        ("<html><head><title>t</title><body>", ""),
+        ("<html><head><title>t</title>", ""),
+        ("<html><head><title>t<meta charset=utf-8><body>", ""),
+        ("<html><head><script>var x = '<p>';</script><noscript><link href=x><body>", ""),
+        ("<title>t</title>", ""),
+        ("<body><div><select><option>one</div>", ""),
+        ("<body><div><button><div>x</div>Menu</div>", ""),
+        ("<body><button>Menu", ""),
+        ("<body><button>Menu<button>Close</button>", ""),
+        ("<body><div><object data=x><param name=y></div>", ""),
+        ("<body>", "<p><canvas>old</p>"),
+        ("<body>", "<div><noscript>no script</div>"),
+        ("<body>", "<div><canvas><button><div>a</div>b</canvas></div>"),
+    ),
+)
+def test_hidden_elements_that_are_not_closed(model, before, inside):
+    page = f"{before}<article>{inside}<h1>Title of it</h1><p>A text of some length that stands in the article.</p><p>And more.</p></article>"
+    text = extraction.extract([page], model)[0]
+    assert text == "Title of it\nA text of some length that stands in the article.\nAnd more."
+
+
+def test_text_ends_the_head():
+    pieces = [text for _, text in extraction.parse("<html><head><title>t</title> plain text</html>").pieces]
+    assert pieces == ["plain text"]
+
+
+def test_closed_hidden_elements_hold_blocks(model):
+    page = "<article><p>one two three</p><noscript><article><p>no</p></article></noscript><button><div>no</div><p>no</button><p>four</p></article>"
+    assert extraction.extract([page], model) == ["one two three\nfour"]
