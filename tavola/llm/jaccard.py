@@ -379,8 +379,8 @@ def _groups(rows: DataFrame, n: int, percent: int) -> DataFrame:
     return components(enough.select("a", "b"))
 
 
-def join(docs: DataFrame, n: int = 3, percent: int = 90, block: int = BLOCK) -> DataFrame:
-    """doc_id, part (key of the text), n_shingles and component_id of every row.
+def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
+    """doc_id, part (key of the text), n_shingles and cluster (null for an empty set) of every row.
 
     Two documents link when 100 * intersection >= ``percent`` * union of their sets.
     """
@@ -420,7 +420,12 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90, block: int = BLOCK) ->
     member = sized.join(found, sized["cls"] == found["node"], "left").select(
         "doc_id", "part", "n_shingles", F.when(F.col("cls") != 0, F.coalesce("root", "cls")).alias("cluster")
     )
-    member = stored(member, "members")
+    return stored(member, "members")
+
+
+def join(docs: DataFrame, n: int = 3, percent: int = 90, block: int = BLOCK) -> DataFrame:
+    """doc_id, part (key of the text), n_shingles and component_id of every row."""
+    member = _members(docs, n, percent, block)
     ids = member.where("cluster is not null").groupBy("cluster").agg(F.min("doc_id").alias("least"))
     # written apart, so that a hot component can be split in the join
     ids = stored(ids, "least")
@@ -435,27 +440,38 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that link to one of a smaller id, directly or not.
+    """One row of ``docs`` of each group of linked documents, and all that link with nothing.
 
-    Of rows with equal ids and texts all stay or go alike; of different texts with one id, the
-    one with the smaller text key stays. Rows that link with nothing stay.
+    The row with the smallest id stays, missing ids last, then that with the smallest text key.
+    Of rows with equal ids and texts one stays; where their other columns differ, a hash decides.
+    Rows without words have no group and all stay.
     """
-    member = join(docs.select("doc_id", "text"), n, percent)
-    # the first of its component: its smallest id, then the smallest text key of that id
-    linked = member.where("component_id is not null and n_shingles > 0")
-    first = linked.where(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(
-        F.min("part").alias("first")
-    )
-    out = (
-        linked.join(first, "component_id")
-        .where(~(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("part") == F.col("first"))))
-        .select(F.col("doc_id").alias("_id"), F.col("part").alias("_part"))
-        .distinct()
+    linked = _members(docs.select("doc_id", "text"), n, percent, BLOCK).where("cluster is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "part")
+    # written apart, so that a hot component can be split in the join
+    first = stored(linked.groupBy("cluster").agg(F.min(order).alias("first")), "first")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("part") == F.col("first.part"))
+    told = (
+        linked.join(first, "cluster")
+        .groupBy(F.col("doc_id").alias("_id"), F.col("part").alias("_part"))
+        .agg(F.max(stays).alias("_stays"), F.count(F.lit(1)).alias("_n"))
     )
-    out = stored(out, "out")
-    return docs.join(
-        out, docs["doc_id"].eqNullSafe(out["_id"]) & (text_key() == out["_part"]), "left_anti"
+    out = stored(told.where("not _stays or _n > 1"), "out")
+
+    def met(side: DataFrame, how: str) -> DataFrame:
+        return docs.join(side, docs["doc_id"].eqNullSafe(side["_id"]) & (text_key() == side["_part"]), how)
+
+    kept = met(out, "left_anti")
+    repeated = out.where("_stays")
+    if repeated.isEmpty():
+        return kept
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    single = (
+        met(repeated, "left_semi")
+        .groupBy(F.col("doc_id").alias("_id"), text_key().alias("_part"))
+        .agg(F.min_by(row, F.xxhash64(row.cast("string"))).alias("_row"))
     )
+    return kept.union(single.select("_row.*"))
 
 
 #: DuckDB SQL for the rows of ``digest``, for a table of distinct ids.

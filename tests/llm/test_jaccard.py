@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -111,5 +112,25 @@ def test_edge_rows(spark, docs_of):
     )
 
 
+def test_one_row_of_each_group_stays(spark, docs_of):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    docs = docs_of(
+        # no row of the group has an id
+        [(None, text(1)), (None, text(1)), (None, text(1) + " w"), (None, text(2))]
+        # a row that came in twice, alone and beside a near copy
+        + [(4, text(3)), (4, text(3)), (5, text(4)), (5, text(4)), (6, text(4) + " w")]
+        # texts of one id that do not link
+        + [(7, text(5)), (7, text(6)), (8, None), (8, None)]
+    )
+    other = docs.where("doc_id = 4").limit(1).selectExpr("doc_id", "text", "'de' AS lang", *[f"`{c}`" for c in docs.columns[3:]])
+    kept = jaccard.keep_first(docs.union(other))
+    assert kept.schema == docs.schema
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    first = min(text(1), text(1) + " w", key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert sorted(got, key=str) == sorted(
+        [(None, first), (None, text(2)), (4, text(3)), (5, text(4)), (7, text(5)), (7, text(6)), (8, None), (8, None)], key=str
+    )
+
+
 def test_empty_table(spark, docs_of):
     assert jaccard.digest(docs_of([(1, "x")]).limit(0)).collect() == []
