@@ -178,16 +178,18 @@ def shard_documents(docs: DataFrame, shards: int = 8, chunk: int = CHUNK) -> Dat
     rows = stored(rows, "sizes")
     groups = stored(rows.groupBy("part").agg(F.sum("size").alias("size")), "groups")
     placed = rows.join(shard_groups(groups, shards, chunk), "part")
-    # slots: ranges of ids are numbered in their own tasks, then shifted by what lies before
-    lane = F.coalesce(F.shiftright("doc_id", 12), F.lit(-(1 << 62)))
-    placed = stored(placed.withColumn("lane", lane), "placed")
-    lanes = placed.groupBy("shard", "lane").agg(F.count(F.lit(1)).alias("n"))
-    before = stored(_before(lanes), "lanes")
-    inner = Window.partitionBy("shard", "lane").orderBy(
-        F.col("doc_id").asc_nulls_first(), "part"
+    # rows that are equal in all else are told apart, so that they need not be in one range
+    placed = stored(placed.withColumn("tie", F.monotonically_increasing_id()), "placed")
+    order = ["shard", F.col("doc_id").asc_nulls_first(), "part", "tie"]
+    # ids that grow along a range-partitioned sort: the partition, and the place in it
+    numbered = stored(placed.orderBy(*order).withColumn("at", F.monotonically_increasing_id()), "numbered")
+    lane = F.shiftright("at", 33)
+    lanes = numbered.groupBy("shard", lane.alias("lane")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("at").alias("first")
     )
+    before = stored(_before(lanes), "lanes")
     return (
-        placed.withColumn("at", F.row_number().over(inner) - 1)
+        numbered.withColumn("lane", lane)
         .join(before, ["shard", "lane"])
         .select(
             "doc_id",
@@ -195,26 +197,14 @@ def shard_documents(docs: DataFrame, shards: int = 8, chunk: int = CHUNK) -> Dat
             "text_crc32",
             F.lit("bytes").alias("law"),
             F.col("shard").cast("int").alias("shard"),
-            (F.col("before") + F.col("at")).cast("long").alias("slot"),
+            (F.col("before") + F.col("at") - F.col("first")).cast("long").alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
         )
     )
 
 
 def _before(lanes: DataFrame) -> DataFrame:
-    """Rows of the same shard in lower lanes: one running sum over blocks, one inside them."""
-    block = F.shiftright("lane", 12)
-    blocks = lanes.groupBy("shard", block.alias("block")).agg(F.sum("n").alias("n"))
-    above = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        "shard", "block", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("lower")
-    )
-    inside = (
-        Window.partitionBy("shard", "block").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        lanes.withColumn("block", block)
-        .withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .join(blocks, ["shard", "block"])
-        .select("shard", "lane", (F.col("lower") + F.col("inside")).alias("before"))
-    )
+    """``lanes`` with the rows of the same shard in lower lanes; each shard has a lane for each
+    partition of the sort at most, whatever the ids."""
+    lower = Window.partitionBy("shard").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
+    return lanes.withColumn("before", F.coalesce(F.sum("n").over(lower), F.lit(0))).drop("n")

@@ -57,6 +57,29 @@ def test_hot_group(spark, docs_of):
     assert len(hot) == 1 and max(others) - min(others) <= 400
 
 
+def test_slots_of_sparse_and_repeated_ids(spark, docs_of, monkeypatch):
+    rng, lanes = random.Random(3), []
+
+    def noted(df, name):
+        out = stored(df, name)
+        lanes.extend([out.count()] if name == "lanes" else [])
+        return out
+
+    stored = sharding.stored
+    monkeypatch.setattr(sharding, "stored", noted)
+    docs = [(rng.randint(-(1 << 63), (1 << 63) - 1), f"text {k}") for k in range(2000)]
+    docs += [(None, f"none {k % 50}") for k in range(600)] + [(77, "same")] * 400
+    rows = sharding.shard_documents(docs_of(docs).repartition(7)).collect()
+    assert len(rows) == len(docs)
+    # lanes follow the partitions of the sort, not the ids
+    assert lanes[0] <= int(spark.conf.get("spark.sql.shuffle.partitions")) + 8
+    for shard in range(8):
+        mine = sorted((r for r in rows if r["shard"] == shard), key=lambda r: r["slot"])
+        assert [r["slot"] for r in mine] == list(range(len(mine)))
+        ids = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in mine]
+        assert ids == sorted(ids)
+
+
 def test_empty_table(spark, docs_of):
     assert sharding.shard_documents(docs_of([(1, "x")]).limit(0)).collect() == []
 
