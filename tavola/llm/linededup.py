@@ -165,18 +165,21 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
-def cleaned(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the later copies deleted from text, and the columns _gone (number of lines
-    deleted) and _removed (no line with a word is left of some)."""
+def _cleaned(docs: DataFrame, min_words: int) -> tuple[DataFrame, list]:
+    """The rows of ``cleaned`` under names that no column of ``docs`` can clash with, and the
+    columns that give those of ``docs`` back."""
+    own = {c: f"_own{k}" for k, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in own.items()])
+    text = F.col(own["text"])
     copies = later_copies(docs.select("doc_id", "text"), min_words).select(
         F.col("doc_id").alias("_id"), F.col("part").alias("_part"), F.col("gone").alias("_lines")
     )
     # what is deleted grows with the corpus: it is never broadcast
     copies = stored(copies, "copies").hint("merge")
-    joined = docs.join(
-        copies, docs["doc_id"].eqNullSafe(copies["_id"]) & (F.xxhash64(docs["text"]) == copies["_part"]), "left"
+    joined = rows.join(
+        copies, F.col(own["doc_id"]).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_part")), "left"
     )
-    lines = F.split("text", "\n")
+    lines = F.split(text, "\n")
     # the lines are cut once, whatever the number that stay
     left = F.get(
         F.transform(
@@ -192,15 +195,23 @@ def cleaned(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.lit(0),
     )
     changed = F.col("_lines").isNotNull()
-    joined = joined.withColumn("text", F.when(changed, left).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
-        joined = joined.withColumn("n_chars", F.when(changed, counted).otherwise(F.col("n_chars")))
-    return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+    joined = joined.withColumn(own["text"], F.when(changed, left).otherwise(text))
+    if "n_chars" in own:
+        counted = F.length(text).cast(docs.schema["n_chars"].dataType)
+        joined = joined.withColumn(own["n_chars"], F.when(changed, counted).otherwise(F.col(own["n_chars"])))
+    joined = joined.select(
+        *own.values(),
         F.coalesce(F.size("_lines"), F.lit(0)).alias("_gone"),
-        (changed & ~F.rlike("text", F.lit(WORD))).alias("_removed"),
+        (changed & ~F.rlike(text, F.lit(WORD))).alias("_removed"),
     )
+    return joined, [F.col(name).alias(c) for c, name in own.items()]
+
+
+def cleaned(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with the later copies deleted from text, and the columns _gone (number of lines
+    deleted) and _removed (no line with a word is left of some)."""
+    rows, own = _cleaned(docs, min_words)
+    return rows.select(*own, "_gone", "_removed")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -214,5 +225,9 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with later copies of lines deleted, without documents of which nothing is left."""
-    return cleaned(docs, min_words).where("not _removed").drop("_gone", "_removed")
+    """``docs`` with later copies of lines deleted, without documents of which nothing is left.
+
+    Columns of any name may stand beside doc_id and text.
+    """
+    rows, own = _cleaned(docs, min_words)
+    return rows.where("not _removed").select(*own)

@@ -71,5 +71,15 @@ def test_edge_rows(spark, docs_of):
     assert {r["text"]: r["n_chars"] for r in kept.collect()}["w"] == 1
 
 
+def test_columns_of_any_name_stay(spark, docs_of):
+    names = ("_gone", "_removed", "_lines", "_id", "_part", "_own1", "gone", "doc")
+    docs = docs_of([(1, "x y z\nq"), (2, "x y z\nw")]).selectExpr("*", *[f"'{c}' AS `{c}`" for c in names])
+    kept = linededup.drop_copies(docs, 3)
+    assert kept.columns == docs.columns
+    rows = sorted(kept.collect(), key=lambda r: r["doc_id"])
+    assert [(r["doc_id"], r["text"], r["n_chars"]) for r in rows] == [(1, "x y z\nq", 7), (2, "w", 1)]
+    assert all(r[c] == c for r in rows for c in names)
+
+
 def test_empty_table(spark, docs_of):
     assert linededup.digest(docs_of([(1, "x")]).limit(0)).collect() == []
