@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import bpe, decontaminate, extraction, jaccard, linededup, quality, sharding, token_files, toxicity, warc
-from tavola.llm.tables import benchmark, documents, labels, pages
+from tavola.llm import bpe, decontaminate, extraction, jaccard, linededup, prefix_trie, quality, sharding, token_files, toxicity, warc
+from tavola.llm.tables import benchmark, conversations, documents, labels, pages
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.digest(conversations(spark, folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_extraction": op8_extraction,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_sharding": op10_sharding,
+        "op11_prefix_trie": op11_prefix_trie,
     }
 
 
@@ -70,4 +75,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_warc": warc.SQL,
         "op6_quality_rules": quality.SQL,
         "op9_jaccard_join": jaccard.SQL,
+        "op11_prefix_trie": prefix_trie.SQL,
     }

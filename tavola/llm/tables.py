@@ -22,6 +22,10 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
+def conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/conversations.parquet")
+
+
 def text_key(column: str = "text") -> Column:
     """128 bits that stand for a text; a missing text has a key of its own."""
     text = F.col(column)
