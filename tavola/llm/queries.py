@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import bpe, decontaminate, extraction, jaccard, linededup, prefix_trie, quality, sharding, token_files, toxicity, warc
+from tavola.llm import bpe, decontaminate, extraction, jaccard, licenses, linededup, prefix_trie, quality, sharding, token_files, toxicity, warc
 from tavola.llm.tables import benchmark, conversations, documents, labels, pages
 
 
@@ -54,6 +54,10 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.digest(conversations(spark, folder))
 
 
+def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(documents(spark, folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -67,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard_join": op9_jaccard_join,
         "op10_sharding": op10_sharding,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_licenses": op12_licenses,
     }
 
 
