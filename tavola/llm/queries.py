@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.llm import bpe, decontaminate, extraction, jaccard, licenses, linededup, prefix_trie, quality, sharding, token_files, toxicity, warc
+from tavola.llm import alignment, bpe, decontaminate, extraction, jaccard, licenses, linededup, prefix_trie, quality, sharding, token_files, toxicity, warc
 from tavola.llm.tables import benchmark, conversations, documents, labels, pages
 
 
@@ -58,6 +58,10 @@ def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(documents(spark, folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -72,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_sharding": op10_sharding,
         "op11_prefix_trie": op11_prefix_trie,
         "op12_licenses": op12_licenses,
+        "op13_alignment": op13_alignment,
     }
 
 

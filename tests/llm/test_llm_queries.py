@@ -12,7 +12,7 @@ FOLDER = f"{compare.DATA}/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
     assert "pipeline" in entry.queries()
 
