@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import uuid
 from array import array
 from collections.abc import Iterator
@@ -46,7 +47,9 @@ from tavola.llm.tables import text_key
 from tavola.llm.words import text_slices
 
 #: Bytes of pieces and of what is known of them that a worker keeps, and of the texts of a block.
-KEPT, BLOCK = 48_000_000, 4_000_000
+KEPT, BLOCK = 48_000_000, 2_000_000
+#: Pieces that are encoded at a time.
+BATCH = 5000
 #: A pair is one number: the id of the first tokenizer times this, plus that of the second.
 SIDE = 1 << 32
 
@@ -62,6 +65,8 @@ class Tokenizers:
     """Both tokenizers, and the bytes of their tokens."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
+        # one thread for each task: Spark's tasks share the cores, and threads keep memory each
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.a.no_truncation()
@@ -93,7 +98,7 @@ class Tokenizers:
     def encode(self, pieces: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides of pieces that begin with a space, which the second one adds itself."""
         texts = [piece.decode() for piece in pieces]
-        a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         b = self.b.encode([text[1:] for text in texts], num_threads=1)
         return a, b
 
@@ -118,8 +123,8 @@ class Aligned:
         if self.held > self.most:
             self.clear()
         new = [p for p in pieces if p not in self.index]
-        for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
+        for at in range(0, len(new), BATCH):
+            self._learn(new[at : at + BATCH])
         return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
 
     def _learn(self, pieces: list[bytes]) -> None:
