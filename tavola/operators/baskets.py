@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,56 +147,72 @@ def pair_rules(basket_rows: DataFrame, min_support: float, min_confidence: float
     )
 
 
-def bundle_pairs(basket_rows: DataFrame, k: int = 50, small: int = 64) -> DataFrame:
-    """The ``k`` item pairs found together in most orders, exactly.
+def basket_blocks(basket_rows: DataFrame, chunk: int = 64) -> DataFrame:
+    """Pairs of chunks of each basket: ``(order_id, i, j, left, right)``, i up to j.
 
-    Baskets of up to ``small`` items give all their pairs. Larger ones would give
-    the square of their size, so they only confirm pairs that can still win: with
-    ``least`` the k-th best count among small baskets, and ``wide`` the number of
-    large baskets an item is in, a pair wins only if its small count plus the
-    lesser ``wide`` of its items reaches ``least``. Pairs seen in no small basket
-    need two items that are in ``least`` large baskets each.
+    A sorted basket is cut into chunks of ``chunk`` items, and two chunks meet in a row of
+    their own, so a basket of n items is about n² / (2 chunk²) rows that go to as many tasks.
+    A basket of up to ``chunk`` items is one row. The number of tasks is given, as Spark would
+    merge them by the bytes of the chunks, which say little of the pairs.
     """
-    few = basket_rows.filter(F.size("items") <= small)
-    many = basket_rows.filter(F.size("items") > small)
-    counted = _pairs(few).groupBy("item1", "item2").agg(F.count("*").alias("n"))
-    best = (
-        counted.orderBy(F.desc("n"))
-        .limit(k)
-        .agg(F.min("n").alias("n"), F.count("*").alias("rows"))
-    )
-    least = best.select(F.when(F.col("rows") == k, F.col("n")).otherwise(F.lit(1))).scalar()
+    tasks = int(basket_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.ceil(F.size("items") / chunk) - 1
 
-    placed = many.select("order_id", F.explode("items").alias("item"))
-    wide = placed.groupBy("item").agg(F.count("*").alias("wide"))
-    heavy = wide.filter(F.col("wide") >= least)
-    heavy_baskets = (
-        placed.join(heavy.select("item"), "item", "left_semi")
-        .groupBy("order_id")
-        .agg(F.sort_array(F.collect_set("item")).alias("items"))
-    )
-    in_heavy = _pairs(heavy_baskets)
-
-    wide1 = wide.select(F.col("item").alias("item1"), F.col("wide").alias("wide1"))
-    wide2 = wide.select(F.col("item").alias("item2"), F.col("wide").alias("wide2"))
-    lesser = F.least("wide1", "wide2")
-    open_pairs = (
-        counted.join(wide1, "item1")
-        .join(wide2, "item2")
-        .filter((F.col("n") + lesser >= least) & (lesser < least))
-        .select("item1", "item2")
+    def part(nth: str) -> Column:
+        return F.slice("items", F.col(nth) * chunk + 1, F.lit(chunk))
+
+    return (
+        basket_rows.select("order_id", "items", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("i"))
+        .select("*", F.explode(F.sequence("i", F.ceil(F.size("items") / chunk) - 1)).alias("j"))
+        .withColumns({c: F.col(c).cast("int") for c in ("i", "j")})
+        .select("order_id", "i", "j", part("i").alias("left"), part("j").alias("right"))
+        .repartition(tasks, "order_id", "i", "j")
     )
-    first = placed.select(F.col("item").alias("item1"), "order_id")
-    second = placed.select(F.col("item").alias("item2"), "order_id")
-    confirmed = (
-        open_pairs.join(first, "item1")
-        .join(second, ["item2", "order_id"], "left_semi")
-        .select("item1", "item2")
+
+
+def _pair_counts(basket_rows: DataFrame, chunk: int) -> DataFrame:
+    """``(item1, item2, pair_count)``, item1 before item2, over sorted baskets."""
+    later = F.when(F.col("i") < F.col("j"), F.col("right")).otherwise(
+        F.expr("slice(left, at + 2, size(left))")
     )
-    extra = in_heavy.unionByName(confirmed).groupBy("item1", "item2").agg(F.count("*").alias("n"))
-    total = (
-        counted.unionByName(extra)
+    return (
+        basket_blocks(basket_rows, chunk)
+        .select("i", "j", "left", "right", F.posexplode("left").alias("at", "item1"))
+        .select("item1", F.explode(later).alias("item2"))
         .groupBy("item1", "item2")
-        .agg(F.sum("n").alias("pair_count"))
+        .agg(F.count("*").alias("pair_count"))
     )
-    return top_k(total, k, F.desc("pair_count"), F.asc("item1"), F.asc("item2"))
+
+
+def _only(placed: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Baskets again, of the chosen items alone, where two of them are left."""
+    return (
+        placed.join(chosen.select("item"), "item", "left_semi")
+        .groupBy("order_id")
+        .agg(F.sort_array(F.collect_set("item")).alias("items"))
+        .filter(F.size("items") >= 2)
+    )
+
+
+def bundle_pairs(basket_rows: DataFrame, k: int = 50, chunk: int = 64) -> DataFrame:
+    """The ``k`` item pairs found together in most orders, exactly.
+
+    A pair is in no more orders than either of its items. The pairs of the most frequent
+    items are counted first; the k-th best of them is a bound, and only items that are in
+    so many orders themselves can make a better pair. Baskets are cut to those items and
+    counted in blocks (:func:`basket_blocks`). The baskets are built once: all three counts
+    read the same shuffle.
+    """
+    placed = basket_rows.select("order_id", F.explode("items").alias("item"))
+    frequency = placed.groupBy("item").agg(F.count("*").alias("orders"))
+    lead = top_k(frequency, math.ceil(math.sqrt(8 * k)) + 1, F.desc("orders"), F.asc("item"))
+    best = top_k(
+        _pair_counts(_only(placed, lead), chunk),
+        k,
+        F.desc("pair_count"),
+        F.asc("item1"),
+        F.asc("item2"),
+    ).agg(F.min("pair_count").alias("n"), F.count("*").alias("pairs"))
+    least = best.select(F.when(F.col("pairs") == k, F.col("n")).otherwise(F.lit(1))).scalar()
+    counted = _pair_counts(_only(placed, frequency.filter(F.col("orders") >= least)), chunk)
+    return top_k(counted, k, F.desc("pair_count"), F.asc("item1"), F.asc("item2"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import money_avg, money_sum
+from tavola.functions.columns import exact_sum, money_avg, money_sum
 from tavola.functions.filters import paid
 from tavola.functions.lines import completed_lines, sold_and_paid
 
@@ -32,21 +32,40 @@ def channel_detailed(
 def channel_detailed_of(lines: DataFrame, distinct_orders: bool = False) -> DataFrame:
     """Line-level channel figures.
 
-    ``total_orders`` counts lines; ``distinct_orders=True`` counts orders instead.
+    ``total_orders`` counts lines; ``distinct_orders=True`` counts orders instead. Lines are
+    reduced to one row per channel and item, so that counting the items expands no line.
     """
-    counted = F.countDistinct("order_id") if distinct_orders else F.count("order_id")
-    return (
-        sold_and_paid(lines)
-        .groupBy("channel")
-        .agg(
-            F.sum("quantity").alias("total_qty"),
-            counted.alias("total_orders"),
-            F.round(money_avg("line_total"), 2).alias("avg_line_value"),
-            F.countDistinct("item_id").alias("unique_items"),
-        )
-        .withColumn(
-            "avg_basket_size", F.round(F.try_divide(F.col("total_qty"), F.col("total_orders")), 2)
+    sold = sold_and_paid(lines)
+    per_item = sold.groupBy("channel", "item_id").agg(
+        F.sum("quantity").alias("qty"),
+        F.count("order_id").alias("order_lines"),
+        F.count("line_total").alias("priced"),
+        exact_sum("line_total").alias("line_sum"),
+    )
+    figures = per_item.groupBy("channel").agg(
+        F.sum("qty").alias("total_qty"),
+        F.sum("order_lines").alias("total_orders"),
+        F.round(
+            F.try_divide(F.sum("line_sum").cast("double"), F.sum("priced")), 2
+        ).alias("avg_line_value"),
+        F.count("item_id").alias("unique_items"),
+    )
+    if distinct_orders:
+        orders = (
+            sold.groupBy("channel", "order_id")
+            .agg(F.count("*").alias("order_lines"))
+            .groupBy(F.col("channel").alias("in_channel"))
+            .agg(F.count("order_id").alias("total_orders"))
         )
+        same = F.col("channel").eqNullSafe(F.col("in_channel"))
+        figures = figures.drop("total_orders").join(orders, same).drop("in_channel")
+    return figures.select(
+        "channel",
+        "total_qty",
+        "total_orders",
+        "avg_line_value",
+        "unique_items",
+        F.round(F.try_divide(F.col("total_qty"), F.col("total_orders")), 2).alias("avg_basket_size"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tavola.functions.columns import day, exact_sum, in_cents, percent
 from tavola.functions.filters import sold_lines
@@ -83,27 +84,37 @@ def promotion_dependency_in_window(
 ) -> DataFrame:
     """Share of an item's quantity ordered on a day one of its promotions ran.
 
-    Promotions become distinct (item, day) pairs, so overlapping ones count a line
-    once and the join is on equality: a hot item is spread over its days, and both
-    sides are reduced to one row per item and day first.
+    A day is promoted when, of the promotions that began up to it, the one that lasts
+    longest has not ended: a running maximum along the item's days, so overlapping
+    promotions count a line once and the length of a promotion costs nothing. Both sides
+    are reduced to one row per item and day first, so an item has no more rows than the
+    calendar has days, whatever its share of all lines.
     """
-    per_day = (
+    sold = (
         sold_lines(items)
         .select("order_id", "item_id", "quantity")
         .join(orders.select("order_id", day("order_date").alias("day")), "order_id", "left")
         .groupBy("item_id", "day")
         .agg(F.sum("quantity").alias("qty"))
+        .withColumn("until", F.lit(None).cast("date"))
     )
-    promo_days = (
+    started = (
         promotions.filter(F.col("start_date") <= F.col("end_date"))
-        .select("item_id", F.explode(F.sequence("start_date", "end_date")).alias("day"))
-        .distinct()
-        .withColumn("promoted", F.lit(True))
+        .groupBy("item_id", F.col("start_date").alias("day"))
+        .agg(F.max("end_date").alias("until"))
+        .withColumn("qty", F.lit(None).cast("bigint"))
+    )
+    up_to_day = Window.partitionBy("item_id").orderBy("day").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    promo_qty = F.when(F.col("promoted"), F.col("qty")).otherwise(0)
     return (
-        per_day.join(promo_days, ["item_id", "day"], "left")
+        sold.unionByName(started)
+        .withColumn("until", F.max("until").over(up_to_day))
+        .filter(F.col("qty").isNotNull())
         .groupBy("item_id")
-        .agg(F.sum("qty").alias("total_qty"), F.sum(promo_qty).alias("promo_qty"))
+        .agg(
+            F.sum("qty").alias("total_qty"),
+            F.sum(F.when(F.col("until") >= F.col("day"), F.col("qty")).otherwise(0)).alias("promo_qty"),
+        )
         .withColumn("promo_dependency_pct", percent("promo_qty", "total_qty"))
     )

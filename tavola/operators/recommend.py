@@ -26,12 +26,14 @@ def recommend(classified: DataFrame, wastage: DataFrame | None = None) -> DataFr
     def in_class(name):
         return F.col("performance_class") == name
 
-    low = F.when(waste > 15, fixed.REVIEW).when(margin < 30, fixed.REMOVE)
+    # the first rule that holds
     advice = (
-        F.when(in_class(fixed.PROFIT_DRIVER), F.lit(fixed.MAINTAIN))
-        .when(in_class(fixed.LOW_PERFORMER), low)
-        .when(in_class(fixed.VOLUME_DRIVER), F.when(margin < 40, fixed.REPRICE))
-        .when(in_class(fixed.HIDDEN_OPPORTUNITY), F.when(margin > 60, fixed.PROMOTE))
+        F.when(in_class(fixed.HIDDEN_OPPORTUNITY) & (margin > 60), fixed.PROMOTE)
+        .when(in_class(fixed.LOW_PERFORMER) & (waste > 15), fixed.REVIEW)
+        .when(in_class(fixed.LOW_PERFORMER) & (margin < 30), fixed.REMOVE)
+        .when(in_class(fixed.VOLUME_DRIVER) & (margin < 40), fixed.REPRICE)
+        .when(in_class(fixed.PROFIT_DRIVER), fixed.MAINTAIN)
+        .otherwise(fixed.MONITOR)
     )
     evidence = F.format_string(
         "Margin: %s%% | Sold: %s | Wastage: %s%%",
@@ -40,7 +42,7 @@ def recommend(classified: DataFrame, wastage: DataFrame | None = None) -> DataFr
         F.round(waste, 2).cast("string"),
     )
     return (
-        rated.withColumn("recommendation", F.coalesce(advice, F.lit(fixed.MONITOR)))
+        rated.withColumn("recommendation", advice)
         .withColumn("priority", band(margin, fixed.PRIORITY_BANDS, fixed.PRIORITY_REST))
         .withColumn("evidence", evidence)
     )

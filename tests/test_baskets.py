@@ -5,6 +5,7 @@ from math import ceil
 from random import Random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tavola.operators import baskets
 
@@ -48,13 +49,13 @@ def random_sets(seed, menu, sizes):
     return [set(rng.choices(names, weights, k=size)) | set(rng.sample(names, 2)) for size in sizes]
 
 
-@pytest.mark.parametrize("small", [2, 4, 8, 64])
+@pytest.mark.parametrize("chunk", [1, 2, 5, 64])
 @pytest.mark.parametrize("k", [1, 10, 5000])
-def test_bundles_equal_brute_force_whatever_is_large(spark, small, k):
-    """Small bounds turn most baskets into large ones; the result must not move."""
+def test_bundles_equal_brute_force_whatever_the_chunks(spark, chunk, k):
+    """Small chunks cut most baskets into blocks; the result must not move."""
     rng = Random(1)
     sets = random_sets(7, 40, [rng.randint(1, 12) for _ in range(150)])
-    found = [tuple(r) for r in baskets.bundle_pairs(frame(spark, sets), k, small).collect()]
+    found = [tuple(r) for r in baskets.bundle_pairs(frame(spark, sets), k, chunk).collect()]
     assert found == brute_pairs(sets, k)
 
 
@@ -65,6 +66,28 @@ def test_one_basket_with_the_whole_menu(spark):
     assert found == brute_pairs(sets, 20)
 
 
+def test_a_basket_of_4000_items_is_spread_over_tasks(spark):
+    """One huge order: each task gets a share of its blocks, and each pair is made once."""
+    sets = [{f"i{n:04d}" for n in range(4000)}]
+    blocks = baskets.basket_blocks(frame(spark, sets), 64)
+    shares = [r["count"] for r in blocks.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == 63 * 64 // 2 and len(shares) == 8 and max(shares) < 0.2 * sum(shares)
+    whole = baskets._pair_counts(frame(spark, sets), 64)
+    assert whole.agg(F.sum("pair_count"), F.max("pair_count")).first()[:] == (4000 * 3999 // 2, 1)
+
+
+def test_baskets_are_built_once_for_all_counts(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    sets = random_sets(5, 30, [4] * 200)
+    rows = [(f"O{n}", i, 1) for n, s in enumerate(sets) for i in s]
+    spark.createDataFrame(rows, "order_id string, item_id string, quantity int").write.parquet(path)
+    found = baskets.bundle_pairs(baskets.baskets(spark.read.parquet(path)), 20)
+    assert [tuple(r) for r in found.collect()] == brute_pairs(sets, 20)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_only_large_baskets(spark):
     sets = [{f"i{n:03d}" for n in range(start, start + 70)} for start in (0, 5, 10)]
     found = [tuple(r) for r in baskets.bundle_pairs(frame(spark, sets), 30).collect()]

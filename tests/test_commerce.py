@@ -1,6 +1,7 @@
 """Wastage, ratings, promotions, prices, stock, channels, periods and figures."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from random import Random
 
 import pytest
 
@@ -165,6 +166,36 @@ def test_overlapping_promotions_count_a_line_once(make, by_key):
     }
 
 
+def test_promotion_windows_against_brute_force(spark, make, by_key):
+    """Random windows with gaps, overlaps, nesting and one of ten years, which is one row."""
+    rng = Random(4)
+    start = date(2015, 1, 1)
+    windows = []
+    for n in range(60):
+        begin = start + timedelta(days=rng.randrange(3000))
+        windows.append((f"P{n}", rng.choice("ABC"), 10, begin, begin + timedelta(days=rng.randrange(-3, 90))))
+    windows.append(("P", "D", 10, start, start + timedelta(days=3652)))
+    windows.append(("Q", "D", 10, start + timedelta(days=10), start + timedelta(days=12)))
+    days = [start + timedelta(days=rng.randrange(-50, 3800)) for _ in range(300)]
+    orders = make("orders", [order(f"O{n}", datetime(d.year, d.month, d.day, n % 24)) for n, d in enumerate(days)])
+    sold = [(n, rng.choice("ABCDE"), rng.randrange(1, 5)) for n in range(300) for _ in range(2)]
+    items = make("order_items", [line(f"O{n}", i, q) for n, i, q in sold])
+    found = by_key(promotions.promotion_dependency_in_window(items, orders, make("promotions", windows)), "item_id")
+    assert set(found) == set("ABCDE")
+    for item, row in found.items():
+        runs = [(a, b) for _, i, _, a, b in windows if i == item]
+        assert row["total_qty"] == sum(q for _, i, q in sold if i == item)
+        assert row["promo_qty"] == sum(q for n, i, q in sold if i == item and any(a <= days[n] <= b for a, b in runs))
+
+
+def test_promotion_rows_follow_their_number_and_not_their_days(make):
+    promos = make("promotions", [("P", "A", 10, date(2010, 1, 1), date(2019, 12, 31))])
+    orders = make("orders", [order("O1", datetime(2015, 1, 5))])
+    items = make("order_items", [line("O1", "A", 2)])
+    text = promotions.promotion_dependency_in_window(items, orders, promos)._jdf.queryExecution().toString()
+    assert "Generate" not in text and "explode" not in text
+
+
 def test_price_sensitivity_bands(make, by_key):
     items = make(
         "order_items",

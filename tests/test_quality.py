@@ -96,3 +96,15 @@ def test_cleaning_log_follows_the_steps(dirty):
         "cancelled": 2,
         "invalid amounts": 1,
     }
+
+
+def test_quality_report_scans_each_table_once(spark, dirty, tmp_path):
+    stored = {}
+    for name, df in dirty.items():
+        df.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    report = quality.quality_report(**stored)
+    expected = {tuple(r) for r in quality.quality_report(**dirty).collect()}
+    assert {tuple(r) for r in report.collect()} == expected
+    final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == len(stored)
