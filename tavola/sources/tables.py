@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -33,7 +34,7 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> D
                 .option("mode", "PERMISSIVE")
                 .csv(path)
             )
-        return spark.read.format(fmt).load(path).drop(CORRUPT)
+        return spark.read.format(fmt).load(_readable(spark, path)).drop(CORRUPT)
     except AnalysisException as error:
         if _is_missing(error):
             return None
@@ -79,18 +80,75 @@ def read_wastage_share(spark: SparkSession, analysis: str, risk: str) -> DataFra
     return None
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and a function that makes paths for it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def _old(path: str) -> str:
+    return f"{path.rstrip('/')}.old"
+
+
+def _readable(spark: SparkSession, path: str) -> str:
+    """``path``, or its last version if a writer stopped between taking it away and switching."""
+    files, make = _file_system(spark, path)
+    if not files.exists(make(path)) and files.exists(make(_old(path))):
+        return _old(path)
+    return path
+
+
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Write a table in place of the one at ``path``, which stays readable until it is done.
+
+    Files go to a folder beside it; when all of them are there, the folders change places by
+    renaming. A run that fails, or reads the table that it writes, leaves the old one as it
+    was. In a store that renames by copying, the switch takes as long as a copy; a reader that
+    meets it half done takes the last version (:func:`read_table`).
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    files, make = _file_system(spark, path)
+    staged = f"{path}.new-{uuid.uuid4().hex}"
+    try:
+        df.write.partitionBy(*partition_by).parquet(staged)
+    except BaseException:
+        files.delete(make(staged), True)
+        raise
+    if files.exists(make(path)):
+        files.delete(make(_old(path)), True)
+        _rename(files, make(path), make(_old(path)))
+    _rename(files, make(staged), make(path))
+    files.delete(make(_old(path)), True)
+
+
+def _rename(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def _by_month(orders: DataFrame) -> DataFrame:
+    """Paid orders with their month, rebalanced by it, so that a task writes few files and a
+    month that holds most of the rows is split between tasks."""
+    return orders_with_month(orders).hint("rebalance", F.col("month"))
 
 
 def write_partitioned_orders(orders: DataFrame, path: str) -> None:
-    """Paid orders, one folder per month (years merged).
+    """Paid orders, one folder per month (years merged)."""
+    write_table(_by_month(orders), path, ["month"])
+
+
+def replace_months(orders: DataFrame, path: str) -> None:
+    """Rewrite the months that ``orders`` has, and leave the files of all others.
 
-    Rebalanced by month, so that a task writes few files and a month that holds
-    most of the rows is split between tasks.
+    Spark stages the files of every month and moves them when all tasks are done.
     """
-    by_month = orders_with_month(orders).hint("rebalance", F.col("month"))
-    write_table(by_month, path, ["month"])
+    (
+        _by_month(orders)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month")
+        .parquet(path)
+    )
 
 
 def export_csv_report(df: DataFrame, path: str) -> None:

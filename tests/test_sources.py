@@ -8,10 +8,12 @@ from random import Random
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.ml.regression import LinearRegressionModel
+from pyspark.sql import functions as F
 
 from tavola.operators import periods
 from tavola.plans import jobs
 from tavola.sources import tables
+from tavola.sources.bucketed import BucketedPair
 
 
 def write(path, text):
@@ -82,6 +84,87 @@ def test_orders_are_stored_by_month_and_pruned(spark, make, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in january._jdf.queryExecution().toString()
 
 
+def test_a_failed_rerun_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(5), path)
+    broken = spark.range(10).select(F.when(F.col("id") > 7, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        tables.write_table(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    assert os.listdir(tmp_path) == ["t"]
+    # a table may be rewritten from itself
+    tables.write_table(spark.read.parquet(path).filter("id > 2"), path)
+    assert spark.read.parquet(path).count() == 2 and os.listdir(tmp_path) == ["t"]
+
+
+def test_a_switch_that_stopped_half_way_is_read(spark, tmp_path):
+    path = tmp_path / "t"
+    tables.write_table(spark.range(5), str(path))
+    path.rename(tmp_path / "t.old")
+    assert tables.read_table(spark, "orders", str(path), "parquet").count() == 5
+    tables.write_table(spark.range(3), str(path))
+    assert tables.read_table(spark, "orders", str(path), "parquet").count() == 3
+
+
+def test_one_month_is_rewritten_alone(spark, make, tmp_path):
+    def orders(months, amount):
+        return make("orders", [(f"O{m}", "C", "L", datetime(2024, m, 5), "App", amount, "Completed") for m in months])
+
+    path = str(tmp_path / "by_month")
+    tables.write_partitioned_orders(orders((1, 2, 3), 1.0), path)
+    before = {m: sorted(os.listdir(f"{path}/month={m}")) for m in (1, 2, 3)}
+    tables.replace_months(orders((2,), 9.0), path)
+    after = {m: sorted(os.listdir(f"{path}/month={m}")) for m in (1, 2, 3)}
+    assert after[1] == before[1] and after[3] == before[3] and after[2] != before[2]
+    found = spark.read.parquet(path).orderBy("month").collect()
+    assert [(r["month"], r["total_amount"]) for r in found] == [(1, 1.0), (2, 9.0), (3, 1.0)]
+
+
+def _bucketed_rows(spark, hot):
+    lines = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.concat(F.lit("O"), F.col("id") % 400)).alias("order_id"),
+        F.col("id").alias("item_id"),
+        F.lit(1).alias("quantity"),
+    )
+    orders = spark.range(500).select(
+        F.when(F.col("id") == 499, F.lit(None)).otherwise(F.concat(F.lit("O"), F.col("id"))).alias("order_id"),
+        F.concat(F.lit("C"), F.col("id") % 9).alias("customer_id"),
+    )
+    return lines, orders
+
+
+@pytest.mark.parametrize("hot", ["O7", None, "nobody's"])
+def test_bucketed_join_is_the_join(spark, tmp_path, hot):
+    lines, orders = _bucketed_rows(spark, hot)
+    pair = BucketedPair(spark, str(tmp_path / "pair"), "order_id", 4)
+    pair.store(lines, orders)
+    expected = sorted(map(tuple, lines.join(orders, "order_id").select("order_id", "item_id", "customer_id").collect()))
+    found = pair.joined(["item_id"], ["customer_id"])
+    assert sorted(map(tuple, found.collect())) == expected
+    # a session that did not store them
+    for part in ("facts", "details"):
+        spark.sql(f"DROP TABLE {pair._table(part)}")
+    again = BucketedPair(spark, str(tmp_path / "pair"), "order_id", 4).joined(["item_id"], ["customer_id"])
+    assert sorted(map(tuple, again.collect())) == expected
+    assert pair.large_keys().count() == (1 if hot else 0) <= 4 / 0.25
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
+    lines, orders = _bucketed_rows(spark, "O7")
+    pair = BucketedPair(spark, str(tmp_path / "pair"), "order_id", 4)
+    pair.store(lines, orders)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = pair.joined(["item_id"], ["customer_id"])
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        final = text.split("== Initial Plan ==")[0]
+        assert "SortMergeJoin" in final and "Exchange hashpartitioning" not in final
+        assert "Bucketed: true" in final
+        frame.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_csv_report_flattens_arrays(spark, tmp_path):
     df = spark.createDataFrame([(["a", "b"], 1.5)], "antecedent array<string>, lift double")
     tables.export_csv_report(df.coalesce(1), str(tmp_path / "rules"))
