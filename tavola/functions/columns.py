@@ -102,6 +102,13 @@ def share_shuffle(df: DataFrame, *counts: str, measures: Iterable[str] = ()) ->
     return df
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on ``key``, where a missing key meets a missing key."""
+    other = right.withColumnRenamed(key, f"other_{key}")
+    same = F.col(key).eqNullSafe(F.col(f"other_{key}"))
+    return left.join(other, same, how).drop(f"other_{key}")
+
+
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """First ``k`` rows; the last of ``order`` must be unique to settle ties."""
     return df.orderBy(*order).limit(k)

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from tavola.functions.filters import completed
 
+LINE_COLUMNS = ("item_id", "quantity", "line_total")
 ORDER_COLUMNS = ("customer_id", "location_id", "order_date", "channel", "total_amount")
 
 
 def completed_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines of completed orders, with the columns of the order that it has."""
     known = [c for c in ORDER_COLUMNS if c in orders.columns]
-    lines = items.select("order_id", "item_id", "quantity", "line_total")
+    lines = items.select("order_id", *LINE_COLUMNS)
     return lines.join(completed(orders).select("order_id", *known), "order_id")
 
 

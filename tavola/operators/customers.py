@@ -165,3 +165,92 @@ def segment_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
             F.round(F.try_divide(F.col("matches"), F.col("total")) * 100, 2).alias("agreement_pct"),
         )
     )
+
+
+#: Labels that a segmentation may have where they are matched; the table of counts that is
+#: matched then has at most the square of it.
+MOST_LABELS = 64
+
+
+def contingency(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Customers per pair of labels of two segmentations, each ``(customer_id, segment)``."""
+    left = a.select("customer_id", F.col("segment").alias("left_segment"))
+    right = b.select("customer_id", F.col("segment").alias("right_segment"))
+    return (
+        left.join(right, "customer_id")
+        .groupBy("left_segment", "right_segment")
+        .agg(F.count("*").alias("customers"))
+    )
+
+
+def _assignment(counts: list[list[int]]) -> list[int]:
+    """The column of each row of a square table, so that the counts there add up to the most.
+
+    Shortest augmenting paths with potentials, over costs that are the negated counts.
+    """
+    n = len(counts)
+    row_price, column_price, row_of = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+    for row in range(1, n + 1):
+        row_of[0], column = row, 0
+        least, come_from, used = [float("inf")] * (n + 1), [0] * (n + 1), [False] * (n + 1)
+        while row_of[column]:
+            used[column] = True
+            here, step, best = row_of[column], float("inf"), 0
+            for c in range(1, n + 1):
+                if used[c]:
+                    continue
+                slack = -counts[here - 1][c - 1] - row_price[here] - column_price[c]
+                if slack < least[c]:
+                    least[c], come_from[c] = slack, column
+                if least[c] < step:
+                    step, best = least[c], c
+            for c in range(n + 1):
+                if used[c]:
+                    row_price[row_of[c]] += step
+                    column_price[c] -= step
+                else:
+                    least[c] -= step
+            column = best
+        while column:
+            row_of[column] = row_of[come_from[column]]
+            column = come_from[column]
+    found = [0] * n
+    for c in range(1, n + 1):
+        found[row_of[c] - 1] = c - 1
+    return found
+
+
+def _pairs_of(n: int) -> int:
+    return n * (n - 1) // 2
+
+
+def matched_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Agreement of two segmentations whose labels need not have the same names.
+
+    Labels are matched one to one so that most customers agree. ``adjusted_rand`` compares
+    pairs of customers and needs no match: 1 for equal partitions, about 0 for unrelated ones;
+    null where both put all customers together or all apart. Only the table of label counts
+    leaves the cluster; more than ``MOST_LABELS`` labels are an error.
+    """
+    spark = a.sparkSession
+    cells = contingency(a, b).limit(MOST_LABELS**2 + 1).collect()
+    left = sorted({c["left_segment"] for c in cells}, key=str)
+    right = sorted({c["right_segment"] for c in cells}, key=str)
+    if max(len(left), len(right)) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
+    n = max(len(left), len(right))
+    counts = [[0] * n for _ in range(n)]
+    for c in cells:
+        counts[left.index(c["left_segment"])][right.index(c["right_segment"])] = c["customers"]
+    total = sum(map(sum, counts))
+    matches = sum(counts[row][column] for row, column in enumerate(_assignment(counts)))
+    together = sum(_pairs_of(c) for row in counts for c in row)
+    in_left = sum(_pairs_of(sum(row)) for row in counts)
+    in_right = sum(_pairs_of(sum(row[c] for row in counts)) for c in range(n))
+    expected = in_left * in_right / _pairs_of(total) if total > 1 else 0.0
+    most = (in_left + in_right) / 2
+    rand = round((together - expected) / (most - expected), 6) if most != expected else None
+    row = (total, matches, total - matches, round(matches / total * 100, 2) if total else None, rand)
+    return spark.createDataFrame(
+        [row], "total long, matches long, mismatches long, agreement_pct double, adjusted_rand double"
+    )

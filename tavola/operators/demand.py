@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -91,6 +92,59 @@ def regressors(seed: int = 42) -> dict[str, Estimator]:
     }
 
 
+def least_squares(rows: DataFrame, features: Sequence[str], label: str) -> dict[str, float]:
+    """Coefficients by feature name, and the ``intercept``, of a linear least-squares fit.
+
+    One aggregate gives the means and covariances; the equations of the features, which are
+    as many as there are names, are solved on the driver. Features that depend on each other
+    share their weight (the shortest solution).
+    """
+    names = [*features, label]
+    pairs = [(x, y) for k, x in enumerate(names) for y in names[k:]]
+    row = rows.dropna(subset=names).agg(
+        *(F.avg(name).alias(f"mean {name}") for name in names),
+        *(F.covar_pop(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"{x} {y}") for x, y in pairs),
+    ).first()
+    if row[f"mean {label}"] is None:
+        raise ValueError("no rows to fit")
+
+    def moment(x: str, y: str) -> float:
+        return row[f"{x} {y}"] if (x, y) in pairs else row[f"{y} {x}"]
+
+    sides = np.array([[moment(x, y) for y in features] for x in features])
+    scale = np.sqrt(np.where(np.diag(sides) > 0, np.diag(sides), 1.0))
+    right = np.array([moment(x, label) for x in features])
+    slopes = np.linalg.lstsq(sides / np.outer(scale, scale), right / scale, rcond=1e-12)[0] / scale
+    found = {name: float(slope) for name, slope in zip(features, slopes)}
+    mean = row[f"mean {label}"] - sum(found[name] * row[f"mean {name}"] for name in features)
+    return found | {"intercept": float(mean)}
+
+
+def linear_prediction(coefficients: Mapping[str, float]) -> Column:
+    """The value of a fit of :func:`least_squares`, as a column."""
+    value = F.lit(coefficients["intercept"])
+    for name, slope in coefficients.items():
+        if name != "intercept":
+            value = value + F.col(name) * F.lit(slope)
+    return value
+
+
+def linear_forecast(
+    features: DataFrame, feature_cols: Sequence[str] = YEAR_FEATURES
+) -> DataFrame:
+    """``(order_date, demand, predicted)`` of the test dates, by a fit on the train dates."""
+    rows = materialize(demand_split(features))
+    fit = least_squares(rows.filter(F.col("split") == "train"), feature_cols, "demand")
+    test = rows.filter(F.col("split") == "test")
+    return test.select("order_date", "demand", linear_prediction(fit).alias("predicted"))
+
+
+def fitted_demand(features: DataFrame, feature_cols: Sequence[str] = YEAR_FEATURES) -> DataFrame:
+    """``(order_date, demand, fitted)`` of a fit on all dates, four digits."""
+    fit = least_squares(features, feature_cols, "demand")
+    return features.select("order_date", "demand", F.round(linear_prediction(fit), 4).alias("fitted"))
+
+
 def train_forecast(
     features: DataFrame,
     feature_cols: Sequence[str] = YEAR_FEATURES,

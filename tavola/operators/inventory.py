@@ -58,11 +58,18 @@ def _named(volume: DataFrame, menu: DataFrame) -> DataFrame:
 
 def slow_moving_threshold(items: DataFrame, menu: DataFrame, frac: float = 0.5) -> DataFrame:
     """Items that sell less than ``frac`` of the average item."""
-    volume = item_volume(items)
+    return slow_moving_threshold_of(item_volume(items), menu, frac)
+
+
+def slow_moving_threshold_of(volume: DataFrame, menu: DataFrame, frac: float = 0.5) -> DataFrame:
     average = share_shuffle(volume, "order_count").agg(F.avg("total_qty")).scalar()
     return _named(volume.filter(F.col("total_qty") < average * frac), menu)
 
 
 def slow_moving_bottom_k(items: DataFrame, menu: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` items that sell least, named after the cut."""
-    return _named(top_k(item_volume(items), k, F.asc("total_qty"), F.asc("item_id")), menu)
+    return slow_moving_bottom_k_of(item_volume(items), menu, k)
+
+
+def slow_moving_bottom_k_of(volume: DataFrame, menu: DataFrame, k: int = 20) -> DataFrame:
+    return _named(top_k(volume, k, F.asc("total_qty"), F.asc("item_id")), menu)

@@ -14,26 +14,33 @@ def _values(df: DataFrame, **measures) -> DataFrame:
     return one_row_to_rows(row, "metric", "value")
 
 
+def paid_totals(orders: DataFrame) -> DataFrame:
+    """Sum, count, customers and average of paid orders, as ``(metric, value)``."""
+    return _values(
+        paid(orders),
+        total_revenue=money_sum("total_amount"),
+        total_orders=F.count("*"),
+        unique_customers=F.countDistinct("customer_id"),
+        avg_order_value=money_avg("total_amount"),
+    )
+
+
 def master_kpis(
     orders: DataFrame, menu: DataFrame, wastage: DataFrame, ratings: DataFrame
 ) -> DataFrame:
     """Company figures as ``(metric, value)``, one aggregate per table."""
-    parts = [
-        _values(
-            paid(orders),
-            total_revenue=money_sum("total_amount"),
-            total_orders=F.count("*"),
-            unique_customers=F.countDistinct("customer_id"),
-            avg_order_value=money_avg("total_amount"),
-        ),
-        _values(menu, total_menu_items=F.count("*")),
-        _values(wastage, total_wastage_cost=money_sum("cost")),
-        _values(ratings, avg_rating=F.avg("rating")),
-    ]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows
+    return master_kpis_of(paid_totals(orders), menu, wastage, ratings)
+
+
+def master_kpis_of(
+    totals: DataFrame, menu: DataFrame, wastage: DataFrame, ratings: DataFrame
+) -> DataFrame:
+    """The same from the totals of paid orders, as ``(metric, value)`` rows."""
+    return (
+        totals.unionByName(_values(menu, total_menu_items=F.count("*")))
+        .unionByName(_values(wastage, total_wastage_cost=money_sum("cost")))
+        .unionByName(_values(ratings, avg_rating=F.avg("rating")))
+    )
 
 
 def executive_kpis(orders: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import exact_sum, in_cents, money_avg, money_sum, percent, top_k
+from tavola.functions.columns import exact_sum, in_cents, money_avg, money_sum, null_safe_join, percent, top_k
 from tavola.functions.filters import completed
 from tavola.functions.lines import completed_lines
 
@@ -22,7 +22,8 @@ def location_comparison_of(
     """Revenue, profit and wastage per location, over completed orders.
 
     ``revenue`` comes from order totals, ``gross_revenue`` from their lines.
-    Lines are reduced to one row per location and item before the cost join.
+    Lines are reduced to one row per location and item before the cost join. Orders
+    without a location are a row of their own.
     """
     takings = completed(orders).groupBy("location_id").agg(
         money_sum("total_amount").alias("revenue"),
@@ -30,6 +31,13 @@ def location_comparison_of(
         money_avg("total_amount").alias("avg_order_value"),
         F.countDistinct("customer_id").alias("unique_customers"),
     )
+    return compare_takings(takings, lines, menu, wastage)
+
+
+def compare_takings(
+    takings: DataFrame, lines: DataFrame, menu: DataFrame, wastage: DataFrame
+) -> DataFrame:
+    """``takings`` (revenue, orders and customers per location) beside profit and wastage."""
     profit = (
         lines.groupBy("location_id", "item_id")
         .agg(F.sum("quantity").alias("qty"), exact_sum("line_total").alias("line_sum"))
@@ -46,8 +54,7 @@ def location_comparison_of(
         money_sum("cost").alias("wastage_cost"),
     )
     return (
-        takings.join(profit, "location_id", "left")
-        .join(waste, "location_id", "left")
+        null_safe_join(null_safe_join(takings, profit, "location_id", "left"), waste, "location_id", "left")
         .fillna(
             0,
             subset=[

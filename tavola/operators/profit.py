@@ -9,6 +9,7 @@ from tavola.functions.columns import (
     cents,
     money_avg,
     money_sum,
+    null_safe_join,
     percent,
     share_shuffle,
     top_k,
@@ -112,7 +113,8 @@ def location_menu_classified_of(lines: DataFrame, menu: DataFrame) -> DataFrame:
     """The quadrant rule inside each location.
 
     The location averages are an aggregate joined back: it holds one row per
-    location, while a window would sort a whole location in one task.
+    location, while a window would sort a whole location in one task. Orders without a
+    location are a location of their own.
     """
     sales = (
         sold_and_paid(lines)
@@ -136,7 +138,7 @@ def location_menu_classified_of(lines: DataFrame, menu: DataFrame) -> DataFrame:
     sells = F.col("qty_sold") >= F.col("avg_qty")
     earns = cents("profit_pct") >= F.col("avg_cents")
     return (
-        per_item.join(averages, "location_id")
+        null_safe_join(per_item, averages, "location_id")
         .withColumn("loc_class", _quadrant(sells, earns))
         .drop("avg_cents")
     )

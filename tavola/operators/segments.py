@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,12 +19,12 @@ MEASURES = ("recency", "frequency", "monetary")
 
 
 def fit_segments(
-    rfm: DataFrame, k: int = 5, seed: int = 42, starts: int = 3, partitions: int = 8
+    rfm: DataFrame, k: int = 5, seed: int = 42, starts: int = 3, rows_per_part: int = 100_000
 ) -> tuple[PipelineModel, DataFrame]:
     """Standardise R, F and M and cluster them; returns the model and scored rows.
 
-    The best of ``starts`` seeds by cost. Customers are laid out in ``partitions`` parts by
-    their id, so that the clusters do not depend on the session's partitioning.
+    The best of ``starts`` seeds by cost. Customers are laid out by their id in parts of about
+    ``rows_per_part``, so that the clusters do not depend on the session's partitioning.
 
     The customers are materialised once, because the scaler, every k-means pass
     and the scoring would each compute the aggregation again.
@@ -33,7 +32,7 @@ def fit_segments(
     customers = laid_out(
         rfm.select("customer_id", *MEASURES).fillna(0, subset=list(MEASURES)),
         "customer_id",
-        partitions,
+        rows_per_part,
     )
     stages = [
         VectorAssembler(inputCols=list(MEASURES), outputCol="measures"),
@@ -54,11 +53,52 @@ def kmeans_segments(rfm: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     return scored.select("customer_id", *MEASURES, "prediction")
 
 
-def silhouette(scored: DataFrame) -> DataFrame:
-    """Silhouette of scored rows, as one ``(metric, value)`` row."""
-    value = ClusteringEvaluator(featuresCol="features").evaluate(scored)
-    return scored.sparkSession.createDataFrame(
-        [("silhouette", float(value))], "metric string, value double"
+def silhouette(
+    scored: DataFrame, measures: Sequence[str] = MEASURES, cluster: str = "prediction"
+) -> DataFrame:
+    """Mean silhouette over squared distances of the standardised ``measures``, as one
+    ``(metric, value)`` row, six digits.
+
+    The mean distance from a row to a cluster follows from the cluster's size, its sum of
+    values and its sum of squares, so one aggregate of a row per cluster serves all rows. A row
+    that is alone in its cluster, or that has no other cluster, counts as 0.
+    """
+    scale = scored.agg(
+        *(F.struct(F.avg(m).alias("mean"), F.stddev_samp(m).alias("std")).alias(m) for m in measures)
+    )
+
+    def standard(m: str) -> Column:
+        std = scale.select(F.col(f"{m}.std")).scalar()
+        centred = F.col(m) - scale.select(F.col(f"{m}.mean")).scalar()
+        return F.coalesce(F.try_divide(centred, std), F.lit(0.0))
+
+    names = [f"z{k}" for k in range(len(measures))]
+    points = scored.select(
+        F.col(cluster).alias("cluster"), *(standard(m).alias(z) for z, m in zip(names, measures))
+    )
+    norm = sum((F.col(z) * F.col(z) for z in names), F.lit(0.0))
+    moments = points.groupBy("cluster").agg(
+        F.count("*").alias("n"),
+        F.sum(norm).alias("squares"),
+        *(F.sum(z).alias(z) for z in names),
+    )
+    all_moments = moments.agg(F.collect_list(F.struct("cluster", "n", "squares", *names))).scalar()
+    points, clusters = points.withColumn("clusters", all_moments), F.col("clusters")
+
+    def distance(c: Column) -> Column:
+        product = sum((F.col(z) * c[z] for z in names), F.lit(0.0))
+        return norm + c["squares"] / c["n"] - 2 * product / c["n"]
+
+    own = F.filter(clusters, lambda c: c["cluster"].eqNullSafe(F.col("cluster")))[0]
+    others = F.filter(clusters, lambda c: ~c["cluster"].eqNullSafe(F.col("cluster")))
+    inside = distance(own) * own["n"] / (own["n"] - 1)
+    outside = F.array_min(F.transform(others, distance))
+    value = F.when(
+        (own["n"] > 1) & outside.isNotNull(),
+        F.coalesce(F.try_divide(outside - inside, F.greatest(inside, outside)), F.lit(0.0)),
+    ).otherwise(0.0)
+    return points.agg(F.round(F.avg(value), 6).alias("value")).select(
+        F.lit("silhouette").alias("metric"), "value"
     )
 
 

@@ -12,9 +12,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tavola.functions.columns import cents
+from tavola.functions.columns import band, cents
 from tavola.functions.filters import filter_menu, filter_orders
-from tavola.functions.fixed import HIDDEN_OPPORTUNITY, PROFIT_DRIVER
+from tavola.functions.fixed import HIDDEN_OPPORTUNITY, LOW_PERFORMER, PROFIT_DRIVER, VOLUME_DRIVER
+from tavola.functions.lines import completed_lines
 from tavola.operators import (
     anomalies,
     baskets,
@@ -32,6 +33,7 @@ from tavola.operators import (
     quality,
     ratings,
     recommend,
+    sales_cube,
     segments,
     wastage,
 )
@@ -56,6 +58,8 @@ TRICKY = {
     "badly_rated": 2.0,
 }
 RULE_SUPPORT, RULE_CONFIDENCE = 0.01, 0.3
+VALUE_BANDS = ((900_000, "rich"), (400_000, "middle"))
+VISIT_BANDS = ((4, "x"), (2, "y"))
 
 
 def _classified(t: StarTables) -> DataFrame:
@@ -199,6 +203,72 @@ def _forecast_dom(t: StarTables) -> DataFrame:
     return demand.forecast_day_of_month(demand.demand_features_dom(_daily(t)))
 
 
+def _cube(t: StarTables) -> tuple[DataFrame, DataFrame]:
+    orders = t.located_orders()
+    return sales_cube.sales_cube(orders), sales_cube.customer_bitmaps(sales_cube.visits(orders))
+
+
+def _locations_of_cube(t: StarTables) -> DataFrame:
+    lines = completed_lines(t.order_items(), t.located_orders())
+    takings = sales_cube.location_takings_of(*_cube(t))
+    return locations.compare_takings(takings, lines, t.menu_items(), t.located_wastage())
+
+
+def _rule_clusters(t: StarTables) -> DataFrame:
+    """Customers clustered by how often they order, so that SQL can check what follows a fit."""
+    cluster = (F.least("frequency", F.lit(5)) - 1).cast("int")
+    return customers.rfm(t.orders()).withColumn("prediction", cluster)
+
+
+def _rule_segments(t: StarTables) -> DataFrame:
+    return segments.label_segments(_rule_clusters(t))
+
+
+def _rule_matching(t: StarTables) -> DataFrame:
+    rfm = customers.rfm(t.orders())
+    by_value = rfm.select("customer_id", band("monetary", VALUE_BANDS, "modest").alias("segment"))
+    by_visits = rfm.select("customer_id", band("frequency", VISIT_BANDS, "z").alias("segment"))
+    return customers.matched_agreement(by_value, by_visits)
+
+
+def _real_matching(t: StarTables) -> DataFrame:
+    def clusters(rfm: DataFrame) -> DataFrame:
+        found = segments.kmeans_segments(rfm)
+        return found.select("customer_id", F.col("prediction").alias("segment"))
+
+    orders = t.orders()
+    return customers.matched_agreement(
+        clusters(customers.rfm(orders)), clusters(customers.rfm_elapsed(orders))
+    )
+
+
+def _rule_forecast(t: StarTables) -> DataFrame:
+    features = demand.demand_features(_daily(t))
+    guesses = [
+        features.select("demand", F.col(lag).alias("predicted"), F.lit(name).alias("model"))
+        for name, lag in (("yesterday", "lag_1"), ("last week", "lag_7"))
+    ]
+    scores = demand.forecast_metrics(guesses[0].unionByName(guesses[1]))
+    return scores.withColumns({c: F.round(c, 6) for c in ("rmse", "mae", "r2")})
+
+
+def _rule_models(t: StarTables) -> DataFrame:
+    items = _classified(t)
+    by_margin = F.when(F.col("profit_pct") >= 50, PROFIT_DRIVER).otherwise(LOW_PERFORMER)
+    by_volume = F.when(F.col("qty_sold") >= 240, VOLUME_DRIVER).otherwise(HIDDEN_OPPORTUNITY)
+    guesses = F.array(
+        F.struct(F.lit("margin").alias("model"), by_margin.alias("prediction")),
+        F.struct(F.lit("volume").alias("model"), by_volume.alias("prediction")),
+    )
+    rows = items.select(F.col("performance_class").alias("label"), F.inline(guesses))
+    return classifier.classification_scores(rows)
+
+
+def _recommended_by_sales(t: StarTables) -> DataFrame:
+    """With the share of completed sales, the first choice of the advice."""
+    return recommend.recommend(_classified(t), _wastage(t).select("item_id", "wastage_pct"))
+
+
 QUERIES: dict[str, Callable[[StarTables], DataFrame]] = {
     # quality and cleaning
     "null_profile": _null_profile,
@@ -248,6 +318,15 @@ QUERIES: dict[str, Callable[[StarTables], DataFrame]] = {
     "monthly_analysis_by_year": lambda t: periods.monthly_analysis(t.orders(), by_year=True),
     "seasonal_analysis": lambda t: periods.seasonal_analysis(t.orders()),
     "orders_with_month": lambda t: periods.orders_with_month(t.located_orders()),
+    # the same from one stored scan of the orders
+    "cube_channels": lambda t: sales_cube.channel_analysis_of(*_cube(t)),
+    "cube_locations": _locations_of_cube,
+    "cube_hours": lambda t: sales_cube.peak_hours_of(sales_cube.sales_cube(t.event_orders())),
+    "cube_days": lambda t: sales_cube.peak_days_of(_cube(t)[0]),
+    "cube_weekend": lambda t: sales_cube.weekend_analysis_of(_cube(t)[0]),
+    "cube_months": lambda t: sales_cube.monthly_analysis_of(_cube(t)[0], by_year=True),
+    "cube_seasons": lambda t: sales_cube.seasonal_analysis_of(_cube(t)[0]),
+    "cube_totals": lambda t: sales_cube.paid_totals_of(*_cube(t)),
     # wastage
     "wastage_analysis": _wastage,
     "wastage_by_location": lambda t: wastage.wastage_by_location(t.located_wastage()),
@@ -305,6 +384,16 @@ QUERIES: dict[str, Callable[[StarTables], DataFrame]] = {
     "segment_counts": lambda t: segments.segment_counts(_labelled(t)),
     "segment_summary": lambda t: segments.segment_summary(_labelled(t)),
     "customer_targeting": lambda t: segments.customer_targeting(_labelled(t)),
+    "segmentation_agreement": _real_matching,
+    # what follows a fit, on clusters and forecasts that a rule makes
+    "rule_segments": _rule_segments,
+    "rule_segment_counts": lambda t: segments.segment_counts(_rule_segments(t)),
+    "rule_segment_summary": lambda t: segments.segment_summary(_rule_segments(t)),
+    "rule_segment_quality": lambda t: segments.silhouette(_rule_clusters(t)),
+    "rule_customer_targeting": lambda t: segments.customer_targeting(_rule_segments(t)),
+    "rule_segment_matching": _rule_matching,
+    "rule_forecast_metrics": _rule_forecast,
+    "rule_model_comparison": _rule_models,
     # baskets
     "baskets": _baskets,
     "frequent_itemsets": lambda t: _basket_text(_itemsets(t), "items"),
@@ -322,6 +411,8 @@ QUERIES: dict[str, Callable[[StarTables], DataFrame]] = {
     # advice and headline figures
     "recommendations": _recommended,
     "recommendations_by_priority": lambda t: recommend.by_priority(_recommended(t)),
+    "recommendations_by_sales": _recommended_by_sales,
+    "recommendations_without_wastage": lambda t: recommend.recommend(_classified(t)),
     "recommendation_counts": lambda t: recommend.recommendation_counts(_recommended(t)),
     "tricky_cases": lambda t: recommend.tricky_cases(_classified(t), t.ratings(), **TRICKY),
     "tricky_cases_rated": lambda t: recommend.tricky_cases(
@@ -347,6 +438,8 @@ QUERIES: dict[str, Callable[[StarTables], DataFrame]] = {
     "forecast_error": lambda t: demand.forecast_error(
         demand.naive_forecast(demand.demand_features(_daily(t)))
     ),
+    "fitted_demand": lambda t: demand.fitted_demand(demand.demand_features(_daily(t))),
+    "linear_forecast": lambda t: demand.linear_forecast(demand.demand_features(_daily(t))),
     "forecast_metrics": _forecast_metrics,
     "forecast_predictions": _forecast_dom,
     "forecast_model_error": lambda t: demand.forecast_error(_forecast_dom(t)),

@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tavola.functions.lines import completed_lines
+from tavola.functions.filters import completed
+from tavola.functions.lines import LINE_COLUMNS, ORDER_COLUMNS, completed_lines
 from tavola.operators import (
     anomalies,
     baskets,
@@ -22,16 +23,17 @@ from tavola.operators import (
     inventory,
     kpis,
     locations,
-    periods,
     pricing,
     profit,
     promotions,
     quality,
     ratings,
     recommend,
+    sales_cube,
     segments,
     wastage,
 )
+from tavola.sources.bucketed import BucketedPair
 from tavola.sources.schemas import TABLES
 from tavola.sources.tables import (
     export_csv_report,
@@ -76,6 +78,9 @@ class Workspace:
     def lines(self) -> DataFrame:
         return self.spark.read.parquet(self.path("completed_lines"))
 
+    def cube(self) -> tuple[DataFrame, DataFrame]:
+        return tuple(self.spark.read.parquet(self.path(n)) for n in ("sales_cube", "customer_bitmaps"))
+
     def path(self, name: str) -> str:
         return f"{self.results}/{name}"
 
@@ -87,14 +92,27 @@ class Workspace:
         write_metrics(df, self.path(f"metrics/{name}"))
 
 
-def ingest(spark: SparkSession, raw: str, tables: str) -> list[str]:
-    """Store every CSV table that exists as Parquet; returns the names found."""
+def _bucketed(spark: SparkSession, tables: str, buckets: int) -> BucketedPair:
+    return BucketedPair(spark, f"{tables.rstrip('/')}/lines_and_orders", "order_id", buckets)
+
+
+def ingest(spark: SparkSession, raw: str, tables: str, buckets: int = 0) -> list[str]:
+    """Store every CSV table that exists as Parquet; returns the names found.
+
+    With ``buckets``, lines and completed orders are also stored in that many buckets of the
+    order id, and every later join of them goes without a shuffle.
+    """
     found = []
     for name in TABLES:
         table = read_table(spark, name, f"{raw}/{name}.csv")
         if table is not None:
             write_table(table, f"{tables}/{name}")
             found.append(name)
+    if buckets and {"orders", "order_items"} <= set(found):
+        orders, items = (read_table(spark, n, f"{tables}/{n}", "parquet") for n in ("orders", "order_items"))
+        _bucketed(spark, tables, buckets).store(
+            items.select("order_id", *LINE_COLUMNS), completed(orders).select("order_id", *ORDER_COLUMNS)
+        )
     return found
 
 
@@ -128,9 +146,23 @@ def quality_job(w: Workspace, raw: str | None = None) -> None:
     write_partitioned_orders(orders, w.path("orders_partitioned"))
 
 
-def lines_job(w: Workspace) -> None:
+def lines_job(w: Workspace, buckets: int = 0) -> None:
     """Join lines and completed orders once, for all the results that need both."""
-    w.save("completed_lines", completed_lines(w.table("order_items"), w.table("orders")))
+    if buckets:
+        lines = _bucketed(w.spark, w.tables, buckets).joined(list(LINE_COLUMNS), list(ORDER_COLUMNS))
+    else:
+        lines = completed_lines(w.table("order_items"), w.table("orders"))
+    w.save("completed_lines", lines)
+
+
+def cube_job(w: Workspace) -> None:
+    """Read the orders for the cube and for the visits of customers; all results that sum or
+    count orders read those."""
+    orders = w.table("orders")
+    w.save("sales_cube", sales_cube.sales_cube(orders))
+    visited = w.save("visits", sales_cube.visits(orders))
+    numbers = w.save("customer_numbers", sales_cube.dense_numbers(visited, "customer_id"))
+    w.save("customer_bitmaps", sales_cube.customer_bitmaps(visited, numbers))
 
 
 def menu_job(w: Workspace) -> None:
@@ -143,28 +175,30 @@ def menu_job(w: Workspace) -> None:
     volume = w.save("item_volume", inventory.item_volume(items))
     w.note("top_sellers", inventory.top_sellers_of(volume))
     w.note("low_sellers", inventory.low_sellers_of(volume))
-    w.save("slow_moving_threshold", inventory.slow_moving_threshold(items, menu))
-    w.save("slow_moving_items", inventory.slow_moving_bottom_k(items, menu))
+    w.save("slow_moving_threshold", inventory.slow_moving_threshold_of(volume, menu))
+    w.save("slow_moving_items", inventory.slow_moving_bottom_k_of(volume, menu))
     advice = inventory.inventory_recommendations(w.table("inventory"))
     w.save("inventory_recommendations", advice)
 
 
 def operations_job(w: Workspace) -> None:
-    items, orders, menu = w.table("order_items"), w.table("orders"), w.table("menu_items")
+    items, menu = w.table("order_items"), w.table("menu_items")
     wasted, lines = w.table("wastage"), w.lines()
-    w.save("location_analysis", locations.location_comparison_of(orders, lines, menu, wasted))
-    w.save("channel_analysis", channels.channel_analysis(orders))
+    cube, bitmaps = w.cube()
+    takings = sales_cube.location_takings_of(cube, bitmaps)
+    w.save("location_analysis", locations.compare_takings(takings, lines, menu, wasted))
+    w.save("channel_analysis", sales_cube.channel_analysis_of(cube, bitmaps))
     w.save("channel_detailed", channels.channel_detailed_of(lines))
     w.save("channel_top_items", channels.channel_item_qty_of(lines))
     by_period: dict[str, Callable[[DataFrame], DataFrame]] = {
-        "peak_hours": periods.peak_hours,
-        "peak_days": periods.peak_days,
-        "weekend_analysis": periods.weekend_analysis,
-        "monthly_analysis": periods.monthly_analysis,
-        "seasonal_analysis": periods.seasonal_analysis,
+        "peak_hours": sales_cube.peak_hours_of,
+        "peak_days": sales_cube.peak_days_of,
+        "weekend_analysis": sales_cube.weekend_analysis_of,
+        "monthly_analysis": sales_cube.monthly_analysis_of,
+        "seasonal_analysis": sales_cube.seasonal_analysis_of,
     }
     for name, analyse in by_period.items():
-        w.save(name, analyse(orders))
+        w.save(name, analyse(cube))
     w.save("wastage_analysis", wastage.wastage_by_item_of(wasted, menu, lines))
     w.save("wastage_risk", wastage.wastage_risk(wasted, items))
     w.save("wastage_by_location", wastage.wastage_by_location(wasted))
@@ -214,12 +248,13 @@ def customer_job(w: Workspace) -> None:
     labelled = w.save("customer_segments", segments.label_segments(scored.drop("features")))
     w.note("segment_summary", segments.segment_summary(labelled))
     w.save("customer_targeting", segments.customer_targeting(labelled))
-    paid = segments.label_segments(segments.kmeans_segments(customers.rfm_elapsed(orders)))
+    paid = w.save("paid_segments", segments.label_segments(segments.kmeans_segments(customers.rfm_elapsed(orders))))
     w.note("segment_agreement", customers.segment_agreement(labelled, paid))
+    w.note("segment_matching", customers.matched_agreement(labelled, paid))
 
 
 def basket_job(w: Workspace) -> None:
-    done = baskets.baskets_of(w.lines())
+    done = w.save("completed_baskets", baskets.baskets_of(w.lines()))
     rules = baskets.association_rules(done, BASKET_SUPPORT, BASKET_CONFIDENCE)
     w.save("basket_rules", rules)
     sold = w.save("baskets", baskets.baskets(w.table("order_items")))
@@ -252,9 +287,8 @@ def advice_job(w: Workspace) -> None:
     w.note("model_version", classifier.model_version(comparison))
     best = comparison.filter("best").first()["model"]
     save_model(models[best], w.path("models/menu_classifier"))
-    figures = kpis.master_kpis(
-        w.table("orders"), w.table("menu_items"), w.table("wastage"), w.table("ratings")
-    )
+    totals = sales_cube.paid_totals_of(*w.cube())
+    figures = kpis.master_kpis_of(totals, w.table("menu_items"), w.table("wastage"), w.table("ratings"))
     w.note("master_kpis", figures)
 
 
@@ -269,11 +303,14 @@ def export_reports(w: Workspace, reports: str) -> list[str]:
     return written
 
 
-def run_all(spark: SparkSession, raw: str, tables: str, results: str, reports: str) -> None:
-    ingest(spark, raw, tables)
+def run_all(
+    spark: SparkSession, raw: str, tables: str, results: str, reports: str, buckets: int = 0
+) -> None:
+    ingest(spark, raw, tables, buckets)
     w = Workspace(spark, tables, results)
     quality_job(w, raw)
-    lines_job(w)
+    lines_job(w, buckets)
+    cube_job(w)
     menu_job(w)
     operations_job(w)
     market_job(w)
@@ -288,9 +325,10 @@ def main() -> None:
     parser = argparse.ArgumentParser(description="Run all menu analytics jobs.")
     for folder in ("raw", "tables", "results", "reports"):
         parser.add_argument(f"--{folder}", required=True, help=f"{folder} folder or URL")
+    parser.add_argument("--buckets", type=int, default=0, help="buckets of lines and orders; 0 for none")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("tavola").getOrCreate()
-    run_all(spark, args.raw, args.tables, args.results, args.reports)
+    run_all(spark, args.raw, args.tables, args.results, args.reports, args.buckets)
     spark.stop()
 
 

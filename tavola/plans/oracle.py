@@ -6,6 +6,8 @@ operators, and rounded after the sum; ratios are rounded half up from their deci
 
 from __future__ import annotations
 
+from itertools import permutations
+
 _VIEWS = {
     "m_orders": """SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id,
         c.c_nationkey AS location_id, o.o_orderdate AS order_date, o.o_orderpriority AS channel,
@@ -110,6 +112,57 @@ def _margin_columns(revenue: str, cost: str) -> str:
     )
 
 
+def _recommended(rows: str) -> str:
+    """Advice over ``rows``: classified items with their wastage_pct."""
+    return f"""SELECT *, CASE
+          WHEN performance_class = 'Hidden Opportunity' AND profit_pct > 60
+            THEN 'PROMOTE - High margin, low visibility'
+          WHEN performance_class = 'Low Performer' AND wastage_pct > 15
+            THEN 'REVIEW - Low performer with high wastage'
+          WHEN performance_class = 'Low Performer' AND profit_pct < 30
+            THEN 'REMOVE or REDESIGN - Low margin'
+          WHEN performance_class = 'Volume Driver' AND profit_pct < 40
+            THEN 'REPRICE - High volume, low margin'
+          WHEN performance_class = 'Profit Driver' THEN 'MAINTAIN - Strong performer'
+          ELSE 'MONITOR' END AS recommendation,
+        CASE WHEN profit_pct > 65 THEN 'Critical' WHEN profit_pct > 55 THEN 'High'
+          WHEN profit_pct > 45 THEN 'Medium' ELSE 'Low' END AS priority,
+        'Margin: ' || CAST(profit_pct AS VARCHAR) || '% | Sold: ' || CAST(qty_sold AS VARCHAR)
+          || ' | Wastage: ' || CAST(wastage_pct AS VARCHAR) || '%' AS evidence
+        FROM ({rows})"""
+
+
+#: Names and strategies of segments by rank (fixed values).
+_SEGMENTS = """['High-Value Loyal', 'Frequent', 'Promotion-Driven', 'Occasional', 'At-Risk']"""
+_STRATEGIES = """['VIP Program - Exclusive offers', 'Loyalty Rewards - Frequent buyers',
+    'Promotional Campaigns - Discount sensitive', 'Reactivation - Send special offers',
+    'Re-engagement - Reminder emails']"""
+
+
+def _orthogonal(names: list[str]) -> dict[str, str]:
+    """Steps that make the features orthogonal one after another and add up the fit."""
+    centred = ", ".join(f"{x} - AVG({x}) OVER () AS {x}" for x in names)
+    steps = {
+        "fit_0": f"""SELECT order_date, demand, {centred}, demand - AVG(demand) OVER () AS y,
+            AVG(demand) OVER () AS fit FROM features"""
+    }
+    for k, x in enumerate(names):
+        square = f"SUM({x} * {x}) OVER ()"
+        rest = "".join(f", {z} - SUM({z} * {x}) OVER () / {square} * {x} AS {z}" for z in names[k + 1 :])
+        steps[f"fit_{k + 1}"] = f"""SELECT order_date, demand, y{rest},
+            fit + SUM(y * {x}) OVER () / {square} * {x} AS fit FROM fit_{k}"""
+    return steps
+
+
+def _best_match() -> str:
+    """The most customers that a one-to-one match of the labels of ``match_cells`` agrees on."""
+    sums = []
+    for order in permutations("xyz"):
+        pairs = " OR ".join(f"(l = '{a}' AND r = '{b}')" for a, b in zip(("rich", "middle", "modest"), order))
+        sums.append(f"COALESCE(SUM(n) FILTER (WHERE {pairs}), 0)")
+    return f"GREATEST({', '.join(sums)})"
+
+
 _STEPS = {
     "profitability": f"""SELECT item_id, item_name, category, cost, base_price, qty_sold,
         CAST(rev AS DOUBLE) AS revenue, order_count, {_margin_columns("rev", "spent")}
@@ -136,16 +189,16 @@ _STEPS = {
             {_money_avg("total_amount")} AS avg_order_value,
             COUNT(DISTINCT customer_id) AS unique_customers
           FROM m_orders WHERE {_DONE} GROUP BY location_id)
-        LEFT JOIN (SELECT location_id, CAST(rev AS DOUBLE) AS gross_revenue,
+        LEFT JOIN (SELECT location_id AS of_lines, CAST(rev AS DOUBLE) AS gross_revenue,
             CAST(spent AS DOUBLE) AS total_cost, CAST(rev - spent AS DOUBLE) AS profit
           FROM (SELECT o.location_id, ROUND(SUM(CAST(i.line_total AS DECIMAL(28,6))), 2) AS rev,
               ROUND(SUM(CAST(i.quantity * m.cost AS DECIMAL(28,6))), 2) AS spent
             FROM m_order_items i JOIN m_orders o ON i.order_id = o.order_id
             JOIN m_menu_items m ON i.item_id = m.item_id WHERE {_DONE} GROUP BY o.location_id))
-          USING (location_id)
-        LEFT JOIN (SELECT location_id, {_int_sum("quantity")} AS total_wasted_qty,
+          ON location_id IS NOT DISTINCT FROM of_lines
+        LEFT JOIN (SELECT location_id AS of_waste, {_int_sum("quantity")} AS total_wasted_qty,
             {_money("cost")} AS wastage_cost FROM m_wastage GROUP BY location_id)
-          USING (location_id)""",
+          ON location_id IS NOT DISTINCT FROM of_waste""",
     "wasted": f"""SELECT m.*, COALESCE(total_wasted_qty, 0) AS total_wasted_qty,
         COALESCE(total_wastage_cost, 0) AS total_wastage_cost, COALESCE(total_sold, 0) AS total_sold,
         {_pct("COALESCE(total_wasted_qty, 0)",
@@ -206,23 +259,8 @@ _STEPS = {
         FROM m_ratings GROUP BY item_id HAVING COUNT(rating) > 2""",
     "sold": f"""SELECT item_id, {_int_sum("quantity")} AS total_qty, COUNT(order_id) AS order_count
         FROM m_order_items WHERE quantity > 0 GROUP BY item_id""",
-    "recommended": """SELECT *, CASE
-          WHEN performance_class = 'Hidden Opportunity' AND profit_pct > 60
-            THEN 'PROMOTE - High margin, low visibility'
-          WHEN performance_class = 'Low Performer' AND wastage_pct > 15
-            THEN 'REVIEW - Low performer with high wastage'
-          WHEN performance_class = 'Low Performer' AND profit_pct < 30
-            THEN 'REMOVE or REDESIGN - Low margin'
-          WHEN performance_class = 'Volume Driver' AND profit_pct < 40
-            THEN 'REPRICE - High volume, low margin'
-          WHEN performance_class = 'Profit Driver' THEN 'MAINTAIN - Strong performer'
-          ELSE 'MONITOR' END AS recommendation,
-        CASE WHEN profit_pct > 65 THEN 'Critical' WHEN profit_pct > 55 THEN 'High'
-          WHEN profit_pct > 45 THEN 'Medium' ELSE 'Low' END AS priority,
-        'Margin: ' || CAST(profit_pct AS VARCHAR) || '% | Sold: ' || CAST(qty_sold AS VARCHAR)
-          || ' | Wastage: ' || CAST(wastage_pct AS VARCHAR) || '%' AS evidence
-        FROM (SELECT c.*, COALESCE(r.waste_ratio, CAST(0 AS DOUBLE)) AS wastage_pct
-          FROM classified c LEFT JOIN risk r ON c.item_id = r.item_id)""",
+    "recommended": _recommended("""SELECT c.*, COALESCE(r.waste_ratio, CAST(0 AS DOUBLE)) AS wastage_pct
+          FROM classified c LEFT JOIN risk r ON c.item_id = r.item_id"""),
     "daily_sales": f"""SELECT CAST(order_date AS DATE) AS order_date,
         {_money("total_amount")} AS daily_revenue, COUNT(order_id) AS order_count
         FROM m_orders GROUP BY 1""",
@@ -239,6 +277,45 @@ _STEPS = {
     "features": """SELECT order_date, demand, CAST(dayofweek(order_date) + 1 AS INT) AS dayofweek,
         CAST(month(order_date) AS INT) AS month, CAST(dayofyear(order_date) AS INT) AS dayofyear,
         lag_1, lag_7 FROM lagged""",
+    "rule_clusters": "SELECT *, CAST(LEAST(frequency, 5) - 1 AS INT) AS prediction FROM rfm_all",
+    "rule_ranks": """SELECT prediction, CAST(ROW_NUMBER() OVER (ORDER BY AVG(CAST(monetary AS DECIMAL(18,2)))
+          DESC, prediction) AS INT) AS segment_rank FROM rule_clusters GROUP BY prediction""",
+    "rule_named": f"""SELECT c.*, segment_rank, {_SEGMENTS}[segment_rank] AS segment
+        FROM rule_clusters c JOIN rule_ranks r ON c.prediction = r.prediction""",
+    "sil_points": "SELECT ROW_NUMBER() OVER () AS i, prediction AS c, "
+    + ", ".join(
+        f"({m} - AVG({m}) OVER ()) / STDDEV_SAMP({m}) OVER () AS z{k}"
+        for k, m in enumerate(("recency", "frequency", "monetary"))
+    )
+    + " FROM rule_clusters",
+    "sil_clusters": """SELECT c, COUNT(*) AS n, SUM(z0 * z0 + z1 * z1 + z2 * z2) AS s, SUM(z0) AS a,
+        SUM(z1) AS b, SUM(z2) AS d FROM sil_points GROUP BY c""",
+    "sil_rows": """SELECT i, MAX(CASE WHEN c = other THEN dist * n / (n - 1) END) AS inside,
+          MIN(CASE WHEN c <> other THEN dist END) AS outside
+        FROM (SELECT p.i, p.c, m.c AS other, m.n, z0 * z0 + z1 * z1 + z2 * z2 + s / n
+            - 2 * (z0 * a + z1 * b + z2 * d) / n AS dist FROM sil_points p CROSS JOIN sil_clusters m)
+        GROUP BY i""",
+    "match_cells": """SELECT l, r, COUNT(*) AS n FROM (SELECT
+          CASE WHEN monetary > 900000 THEN 'rich' WHEN monetary > 400000 THEN 'middle' ELSE 'modest' END AS l,
+          CASE WHEN frequency > 4 THEN 'x' WHEN frequency > 2 THEN 'y' ELSE 'z' END AS r
+          FROM rfm_all) GROUP BY l, r""",
+    "match_sums": """SELECT SUM(n) AS total, SUM(n * (n - 1) / 2) AS together,
+        (SELECT SUM(n * (n - 1) / 2) FROM (SELECT SUM(n) AS n FROM match_cells GROUP BY l)) AS in_l,
+        (SELECT SUM(n * (n - 1) / 2) FROM (SELECT SUM(n) AS n FROM match_cells GROUP BY r)) AS in_r
+        FROM match_cells""",
+    "guesses": """SELECT 'yesterday' AS model, demand, lag_1 AS p FROM lagged
+        UNION ALL SELECT 'last week', demand, lag_7 FROM lagged""",
+    "said": """SELECT 'margin' AS model, performance_class AS label, CASE WHEN profit_pct >= 50
+          THEN 'Profit Driver' ELSE 'Low Performer' END AS prediction FROM classified
+        UNION ALL SELECT 'volume', performance_class, CASE WHEN qty_sold >= 240
+          THEN 'Volume Driver' ELSE 'Hidden Opportunity' END FROM classified""",
+    "said_classes": """SELECT model, label AS cls, COUNT(*) AS truly,
+          CAST(COUNT(*) FILTER (WHERE label = prediction) AS DOUBLE) AS hits,
+          (SELECT COUNT(*) FROM said s WHERE s.model = said.model AND s.prediction = said.label) AS said
+        FROM said GROUP BY model, label""",
+    "said_scores": """SELECT *, hits / truly AS recall, CASE WHEN said > 0 THEN hits / said ELSE 0 END AS precision
+        FROM said_classes""",
+    **_orthogonal(["dayofweek", "month", "dayofyear", "lag_1", "lag_7"]),
     # Baskets of categories as bit masks; one row per mask.
     "cats": """SELECT category, CAST(1 AS BIGINT) << CAST(ROW_NUMBER() OVER (ORDER BY category) - 1
         AS INT) AS bit FROM (SELECT DISTINCT category FROM m_menu_items)""",
@@ -558,6 +635,32 @@ _BODIES = {
           FROM (SELECT CAST(monetary AS DECIMAL(18,2)) * COUNT(*) OVER ()
                 >= SUM(CAST(monetary AS DECIMAL(18,2))) OVER () AS rich,
               frequency * COUNT(*) OVER () >= SUM(frequency) OVER () AS often FROM rfm_all))""",
+    "rule_segments": "SELECT * FROM rule_named",
+    "rule_segment_counts": "SELECT segment, COUNT(*) AS customers FROM rule_named GROUP BY segment",
+    "rule_segment_summary": f"""SELECT segment, {_r("AVG(recency)")} AS avg_recency,
+        {_r("AVG(frequency)")} AS avg_frequency, {_r(_money_avg("monetary"))} AS avg_monetary
+        FROM rule_named GROUP BY segment""",
+    "rule_segment_quality": """SELECT 'silhouette' AS metric,
+        ROUND(AVG((outside - inside) / GREATEST(inside, outside)), 6) AS value FROM sil_rows""",
+    "rule_customer_targeting": f"""SELECT segment_rank, segment, COUNT(customer_id) AS customer_count,
+        {_r(_money_avg("monetary"))} AS avg_monetary, {_r("AVG(frequency)")} AS avg_frequency,
+        {_STRATEGIES}[segment_rank] AS strategy FROM rule_named GROUP BY segment_rank, segment""",
+    "rule_segment_matching": f"""SELECT CAST(total AS BIGINT) AS total, CAST(matches AS BIGINT) AS matches,
+        CAST(total - matches AS BIGINT) AS mismatches, {_pct("matches", "total")} AS agreement_pct,
+        ROUND((together - in_l * in_r / (total * (total - 1) / 2))
+          / ((in_l + in_r) / 2 - in_l * in_r / (total * (total - 1) / 2)), 6) AS adjusted_rand
+        FROM (SELECT {_best_match()} AS matches FROM match_cells) CROSS JOIN match_sums""",
+    "rule_forecast_metrics": f"""SELECT model, {_r("rmse", 6)} AS rmse, {_r("mae", 6)} AS mae,
+        {_r("r2", 6)} AS r2, ROW_NUMBER() OVER (ORDER BY rmse, model) = 1 AS best
+        FROM (SELECT model, SQRT(AVG((demand - p) * (demand - p))) AS rmse, AVG(ABS(demand - p)) AS mae,
+          1 - SUM((demand - p) * (demand - p)) / (VAR_POP(demand) * COUNT(*)) AS r2 FROM guesses GROUP BY model)""",
+    "rule_model_comparison": f"""SELECT *, ROW_NUMBER() OVER (ORDER BY f1 DESC, model) = 1 AS best FROM (
+        SELECT model, {_r("SUM(hits) / SUM(truly)", 4)} AS accuracy,
+          {_r("SUM(truly * CASE WHEN hits > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END) "
+              "/ SUM(truly)", 4)} AS f1,
+          {_r("SUM(truly * precision) / SUM(truly)", 4)} AS precision,
+          {_r("SUM(truly * recall) / SUM(truly)", 4)} AS recall FROM said_scores GROUP BY model)""",
+    "fitted_demand": "SELECT order_date, demand, ROUND(fit, 4) AS fitted FROM fit_5",
     "baskets": f"""SELECT order_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items,
         CAST(COUNT(*) AS INT) AS size FROM (SELECT DISTINCT i.order_id, i.item_id
           FROM m_order_items i JOIN m_orders o ON i.order_id = o.order_id WHERE {_DONE})
@@ -576,6 +679,9 @@ _BODIES = {
         GROUP BY 1, 2 ORDER BY pair_count DESC, item1, item2 LIMIT 50""",
     "recommendations": "SELECT * FROM recommended",
     "recommendations_by_priority": "SELECT * FROM recommended",
+    "recommendations_by_sales": _recommended("""SELECT c.*, w.wastage_pct FROM classified c
+        JOIN wasted w ON c.item_id = w.item_id"""),
+    "recommendations_without_wastage": _recommended("SELECT *, CAST(0 AS DOUBLE) AS wastage_pct FROM classified"),
     "recommendation_counts": "SELECT priority, COUNT(*) AS items FROM recommended GROUP BY 1",
     "tricky_cases": _tricky("COALESCE(avg_rating, 0)"),
     "tricky_cases_rated": _tricky("avg_rating"),
@@ -614,5 +720,27 @@ _BODIES = {
 }
 
 
+#: Results of the cube, and the query whose rows they must have.
+_FROM_CUBE = {
+    "cube_channels": "channel_analysis",
+    "cube_locations": "location_comparison",
+    "cube_hours": "peak_hours",
+    "cube_days": "peak_days",
+    "cube_weekend": "weekend_analysis",
+    "cube_months": "monthly_analysis_by_year",
+    "cube_seasons": "seasonal_analysis",
+}
+_BODIES |= {name: _BODIES[same] for name, same in _FROM_CUBE.items()}
+_BODIES["cube_totals"] = " UNION ALL ".join(
+    _kpi(name, value, f"m_orders WHERE {_PAID}")
+    for name, value in (
+        ("total_revenue", _money("total_amount")),
+        ("total_orders", "COUNT(*)"),
+        ("unique_customers", "COUNT(DISTINCT customer_id)"),
+        ("avg_order_value", _money_avg("total_amount")),
+    )
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(body) for name, body in _BODIES.items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tavola-checkpoints-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     context.setCheckpointDir(shared)
 
 
@@ -32,10 +35,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def laid_out(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    """``df`` materialised in ``partitions`` parts by a hash of ``key``, in order inside them.
+def laid_out(df: DataFrame, key: str, rows_per_part: int = 100_000) -> DataFrame:
+    """``df`` materialised in parts by a hash of ``key``, in order inside them.
 
-    Model fits draw per part, so a fixed layout makes them repeatable whatever the
+    Model fits draw per part. The number of parts follows from the number of rows, 8 at
+    least, so fits are as parallel as the data is large, and repeatable whatever the
     session's number of shuffle partitions.
     """
-    return materialize(df.repartition(partitions, key).sortWithinPartitions(key))
+    rows = materialize(df)
+    parts = max(8, -(-rows.count() // rows_per_part))
+    return materialize(rows.repartition(parts, key).sortWithinPartitions(key))

@@ -1,6 +1,11 @@
 from datetime import date, datetime, timedelta
 
+from itertools import combinations, permutations
+from random import Random
+
 import pytest
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 
 from tavola.operators import customers, segments
 
@@ -120,3 +125,58 @@ def test_labels_do_not_depend_on_cluster_ids(spark, by_key):
         "b": "High-Value Loyal", "c": "Frequent", "a": "Promotion-Driven"
     }
     assert {k: v["segment"] for k, v in other.items()} == {k: v["segment"] for k, v in found.items()}
+
+
+def labels(spark, pairs):
+    return spark.createDataFrame(pairs, "customer_id string, segment string")
+
+
+def brute_match(pairs):
+    """All one-to-one matches of labels, and pairs of customers counted one by one."""
+    left, right = sorted({a for a, _ in pairs}), sorted({b for _, b in pairs})
+    n = max(len(left), len(right))
+    left, right = left + [None] * (n - len(left)), right + [None] * (n - len(right))
+    best = max(sum(dict(zip(left, order)).get(a) == b for a, b in pairs) for order in permutations(right))
+    both = in_left = in_right = total = 0
+    for (a, b), (c, d) in combinations(pairs, 2):
+        total, both = total + 1, both + (a == c and b == d)
+        in_left, in_right = in_left + (a == c), in_right + (b == d)
+    expected = in_left * in_right / total
+    most = (in_left + in_right) / 2
+    return best, None if most == expected else round((both - expected) / (most - expected), 6)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_matched_agreement_against_brute_force(spark, seed):
+    rng = Random(seed)
+    pairs = [(rng.choice("abcde"), rng.choice("vwxy")) for _ in range(120)]
+    pairs = [(a, "vwxyz"["abcde".index(a)] if rng.random() < 0.6 else b) for a, b in pairs]
+    a = labels(spark, [(str(n), x) for n, (x, _) in enumerate(pairs)])
+    b = labels(spark, [(str(n), y) for n, (_, y) in enumerate(pairs)])
+    row = customers.matched_agreement(a, b).first()
+    matches, rand = brute_match(pairs)
+    assert (row["total"], row["matches"], row["mismatches"]) == (120, matches, 120 - matches)
+    assert row["adjusted_rand"] == pytest.approx(rand)
+
+
+def test_permuted_labels_agree_wholly(spark):
+    a = labels(spark, [(str(n), "abc"[n % 3]) for n in range(30)])
+    b = labels(spark, [(str(n), "bca"[n % 3]) for n in range(30)])
+    assert customers.segment_agreement(a, b).first()["agreement_pct"] == 0.0
+    assert customers.matched_agreement(a, b).first()[:] == (30, 30, 0, 100.0, 1.0)
+    assert customers.matched_agreement(a, b.limit(0)).first()[:] == (0, 0, 0, None, None)
+    many = labels(spark, [(str(n), str(n)) for n in range(80)])
+    with pytest.raises(ValueError):
+        customers.matched_agreement(many, many)
+
+
+def test_silhouette_is_that_of_the_evaluator(spark):
+    rng = Random(5)
+    rows = [(str(n), rng.randrange(100), rng.randrange(9), rng.random() * 500, n % 4) for n in range(300)]
+    rows.append(("alone", 500, 1, 1.0, 9))
+    df = spark.createDataFrame(rows, "customer_id string, recency int, frequency int, monetary double, prediction int")
+    assembled = VectorAssembler(inputCols=list(segments.MEASURES), outputCol="raw").transform(df)
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(assembled)
+    expected = ClusteringEvaluator(featuresCol="features").evaluate(scaler.transform(assembled))
+    assert segments.silhouette(df).first()["value"] == pytest.approx(expected, abs=1e-6)
+    assert segments.silhouette(df.filter("prediction = 1")).first()["value"] == 0.0

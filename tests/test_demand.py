@@ -1,6 +1,8 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 
 from tavola.operators import classifier, demand
@@ -111,3 +113,40 @@ def test_checkpoint_folder_of_the_session_is_kept(spark):
     folder = spark.sparkContext.getCheckpointDir()
     materialize(spark.range(3))
     assert spark.sparkContext.getCheckpointDir() == folder
+
+
+def test_least_squares_is_that_of_the_library(spark):
+    values = [100 + 10 * (n % 7) + (n * 37) % 23 + n // 10 for n in range(200)]
+    features = demand.demand_features(daily(spark, values))
+    names = list(demand.YEAR_FEATURES)
+    found = demand.least_squares(features, names, "demand")
+    rows = VectorAssembler(inputCols=names, outputCol="features").transform(features)
+    model = LinearRegression(labelCol="demand", solver="normal").fit(rows)
+    assert [found[n] for n in names] == pytest.approx(list(model.coefficients), abs=1e-6)
+    assert found["intercept"] == pytest.approx(model.intercept, abs=1e-6)
+    test = demand.linear_forecast(features)
+    only = {"LinearRegression": LinearRegression(labelCol="demand", solver="normal")}
+    _, expected = demand.train_forecast(features, models=only)
+    pairs = test.join(expected.withColumnRenamed("predicted", "other"), "order_date").collect()
+    assert len(pairs) == test.count() > 30
+    assert all(r["predicted"] == pytest.approx(r["other"], abs=1e-6) for r in pairs)
+
+
+def test_least_squares_of_dependent_and_constant_features(spark):
+    df = spark.createDataFrame([(n, 2 * n, 5, 3.0 * n + 1) for n in range(10)], "a int, b int, c int, y double")
+    found = demand.least_squares(df, ["a", "b", "c"], "y")
+    assert found["a"] + 2 * found["b"] == pytest.approx(3) and found["c"] == 0
+    assert found["intercept"] == pytest.approx(1)
+    with pytest.raises(ValueError):
+        demand.least_squares(df.limit(0), ["a"], "y")
+
+
+def test_scores_are_those_of_the_evaluator(spark):
+    rows = [("m", float(n % 4), float((n * n) % 5 % 4)) for n in range(100)] + [("n", 0.0, 3.0), ("n", 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "model string, label double, prediction double")
+    found = {r["model"]: r for r in classifier.classification_scores(df).collect()}
+    names = {"accuracy": "accuracy", "f1": "f1", "precision": "weightedPrecision", "recall": "weightedRecall"}
+    for model in "mn":
+        for ours, theirs in names.items():
+            expected = MulticlassClassificationEvaluator(metricName=theirs).evaluate(df.filter(df.model == model))
+            assert found[model][ours] == pytest.approx(expected, abs=5e-5)

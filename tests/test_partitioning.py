@@ -30,6 +30,19 @@ def test_segments(spark, at_partitions):
     assert at_partitions(1, make) == at_partitions(7, make)
 
 
+def test_clusters_in_many_parts_are_equal_at_any_number_of_partitions(spark, at_partitions):
+    """1,000 customers in more than 8 parts: who is with whom does not depend on the session."""
+
+    def make():
+        rfm = customers.rfm(StarTables(spark, FOLDER).orders())
+        scored = segments.fit_segments(rfm, starts=1, rows_per_part=8)[1]
+        assert scored.rdd.getNumPartitions() > 8
+        return scored.select("customer_id", "prediction")
+
+    first = at_partitions(1, make)
+    assert first and first == at_partitions(7, make) == at_partitions(64, make)
+
+
 def test_model_comparison(spark, at_partitions):
     def make():
         t = StarTables(spark, FOLDER)

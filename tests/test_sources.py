@@ -10,7 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 
-from tavola.operators import periods
+from tavola.functions.lines import completed_lines
+from tavola.operators import channels, periods
 from tavola.plans import jobs
 from tavola.sources import tables
 from tavola.sources.bucketed import BucketedPair
@@ -210,7 +211,7 @@ def read_json(folder):
 def test_the_whole_run(spark, tmp_path):
     raw = raw_folder(tmp_path / "raw")
     results, reports = str(tmp_path / "results"), str(tmp_path / "reports")
-    jobs.run_all(spark, raw, str(tmp_path / "tables"), results, reports)
+    jobs.run_all(spark, raw, str(tmp_path / "tables"), results, reports, buckets=4)
 
     assert sorted(os.listdir(reports)) == sorted(jobs.REPORTS.values())
     figures = {r["metric"]: r["value"] for r in read_json(f"{results}/metrics/master_kpis")}
@@ -225,6 +226,14 @@ def test_the_whole_run(spark, tmp_path):
     assert joined.filter("wastage_pct <> own").count() == 0 and joined.count() == 4
     (agreement,) = read_json(f"{results}/metrics/segment_agreement")
     assert agreement["total"] == 50
+    (matching,) = read_json(f"{results}/metrics/segment_matching")
+    assert matching["total"] == 50 and matching["matches"] >= agreement["matches"]
+    orders = tables.read_table(spark, "orders", str(tmp_path / "tables" / "orders"), "parquet")
+    lines = tables.read_table(spark, "order_items", str(tmp_path / "tables" / "order_items"), "parquet")
+    assert spark.read.parquet(f"{results}/completed_lines").count() == completed_lines(lines, orders).count()
+    for name, direct in (("peak_days", periods.peak_days), ("channel_analysis", channels.channel_analysis)):
+        found, expected = spark.read.parquet(f"{results}/{name}"), direct(orders)
+        assert sorted(map(tuple, found.select(*expected.columns).collect())) == sorted(map(tuple, expected.collect()))
     assert spark.read.parquet(f"{results}/bundle_recommendations").count() == 6
     (version,) = read_json(f"{results}/metrics/model_version")
     assert version["training_records"] + version["test_records"] == 4
