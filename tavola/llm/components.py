@@ -27,7 +27,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         both = links.select(F.col("hi").alias("n"), F.col("lo").alias("m")).union(
             links.select(F.col("lo").alias("n"), F.col("hi").alias("m"))
         )
-        least = both.groupBy("n").agg(F.min("m").alias("least"))
+        # written apart, so that a node of many neighbours can be split in the join
+        least = stored(both.groupBy("n").agg(F.min("m").alias("least")), "least")
         # large star: every neighbour above a node goes to the least of the node and its neighbours
         large = (
             both.where("m > n")

@@ -11,15 +11,19 @@
    t, each set in its own class and the next), empty ranges count only for sets that have more
    of them than the spare ranges make up for, and a key of very many sets puts them all together
    instead of counting for each pair.
-3. *Join.* In a group the ordered sets form a prefix tree. All sets of a block walk down the
-   tree of another block together, level by level; sets with a common prefix are one node and
+3. *Join.* In a task the ordered sets form a prefix tree. All sets of one side walk down the
+   tree of the other side together, level by level; sets with a common prefix are one node and
    share the overlap found so far. A subtree is left when the overlap so far and what remains
    on both sides cannot reach the threshold for the smallest set below it.
 4. *Components* of the links, over classes, give each document its class id.
 
-A group is never gathered whole: it is dealt to blocks of ``block`` sets, and pairs of blocks
-are joined in tasks of their own, which return a spanning forest of their links instead of all
-pairs. Copies are folded before anything is paired.
+A group is never gathered whole. One of up to ``block`` sets is one task; of a larger one each
+set meets its own candidates. Sets that meet in a key of very many classes are all candidates
+of each other: they are dealt to blocks of ``block`` sets a few times anew, which links what is
+densely linked, and then the sets outside the largest component so far meet all others. Pairs
+inside a component need no comparison, so thousands of near copies of one text that are all
+different cost a few passes and not the square of their number. Tasks return a spanning forest
+of their links instead of all pairs. Copies are folded before anything is paired.
 
 Rows: a missing or empty text, or one without words, has an empty set and links with nothing;
 fewer words than ``n`` are one shingle. Rows that repeat a doc_id are separate documents that
@@ -35,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavola.llm import words
@@ -282,18 +286,20 @@ def _forest(n: int, x: np.ndarray, y: np.ndarray) -> tuple[list[int], list[int]]
     return keep_x, keep_y
 
 
-def _join_blocks(n: int, percent: int):
+def _join_task(n: int, percent: int):
+    """Links of the sets of one task: those of side 0 with those of side 1, those of side 2 with
+    each other; a spanning forest of them."""
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        # by size, then place, so that the walk does not depend on the order of rows
+        # in order of the class, so that the walk does not depend on the order of rows
         frame = frame.drop_duplicates("cls").sort_values("cls", kind="stable")
         data, begin, end, row = words.spans(pa.array(frame["text"], pa.large_string()))
         value, of = words.sets(words.hashes(data, begin, end, lower=True), row, n)
         size = np.bincount(of, minlength=len(frame))
         sets = np.split(value, np.cumsum(size)[:-1])
-        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        block = frame["block"].to_numpy()
+        side = frame["side"].to_numpy()
         names = frame["cls"].to_numpy()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         x, y = tree_links(sets, left, right, percent)
@@ -366,8 +372,9 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs(*held)
 
 
-def _groups(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """Components of the sets that share enough keys: node (a class) and root."""
+def _candidates(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs of classes (a, b) that share enough keys, and those that stand for a key of many
+    classes (free): all classes of such a key are candidates of each other."""
     keyed = rows.select("text").mapInArrow(_keys(n, percent), "key long, cls long, need int")
     met = keyed.repartition("key").sortWithinPartitions("key", "cls")
     pairs = met.mapInArrow(_edges, "a long, b long, shared long, need int, free boolean")
@@ -376,7 +383,71 @@ def _groups(rows: DataFrame, n: int, percent: int) -> DataFrame:
         .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"), F.max("free").alias("free"))
         .where(F.col("free") | (F.col("shared") >= F.col("need")))
     )
-    return components(enough.select("a", "b"))
+    return stored(enough.select("a", "b", "free"), "candidates")
+
+
+#: How often the sets of a hot group are dealt to blocks anew before what is left is compared.
+DEALS = 3
+
+
+def _task(kind: str, *parts: str) -> Column:
+    return F.concat_ws("-", F.lit(kind), *parts).alias("task")
+
+
+def _first_tasks(candidates: DataFrame, placed: DataFrame, hot: DataFrame, block: int) -> DataFrame:
+    """(task, side, cls): groups of up to ``block`` sets whole, the candidates of each set of a
+    larger group, and the hot sets of larger groups in blocks, dealt ``DEALS`` times."""
+    whole = placed.where(F.col("size") <= block).select(_task("g", "root"), F.lit(2).alias("side"), "cls")
+    larger = placed.where(F.col("size") > block).select(F.col("cls").alias("a"))
+    pairs = candidates.where(~F.col("free")).select("a", "b").join(larger, "a")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
+    stars = pairs.join(parts, "a").withColumn("nth", F.pmod(F.xxhash64("b"), "parts"))
+    of_star = _task("s", "a", "nth")
+    tasks = (
+        whole.union(stars.select(of_star, F.lit(1), F.col("b")))
+        .union(stars.select(of_star, F.lit(0), F.col("a")).distinct())
+    )
+    for deal in range(DEALS):
+        dealt = hot if deal == 0 else hot.where("blocks > 1")
+        nth = F.pmod(F.xxhash64("cls", F.lit(deal)), "blocks")
+        tasks = tasks.union(dealt.select(_task(f"h{deal}", "root", nth), F.lit(2), "cls"))
+    return tasks
+
+
+def _last_tasks(hot: DataFrame, linked: DataFrame, block: int) -> DataFrame:
+    """(task, side, cls): of the sets of a hot group, those outside its largest component so far
+    with all others. Where all are one component there is nothing left to compare."""
+    component = F.coalesce("of", "cls").alias("component")
+    found = hot.where("blocks > 1").join(
+        linked.select(F.col("node").alias("cls"), F.col("root").alias("of")), "cls", "left"
+    )
+    found = stored(found.select("root", "cls", component), "found")
+    sizes = found.groupBy("root", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("root").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("total")
+    )
+    counts = largest.where("total > top.n").select(
+        "root",
+        F.col("top.component").alias("largest"),
+        F.ceil(F.col("top.n") / block).cast("int").alias("inner"),
+        F.ceil((F.col("total") - F.col("top.n")) / block).cast("int").alias("outer"),
+    )
+    counts = stored(counts, "counts")
+    rows = found.join(counts, "root")
+    inside = F.col("component") == F.col("largest")
+    own = F.xxhash64("cls", F.lit(DEALS))
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    within = rows.where(inside).withColumns({"k": F.pmod(own, "inner"), "o": each("outer")})
+    beyond = rows.where(~inside).withColumn("o", F.pmod(own, "outer"))
+    across = within.select(_task("l", "root", "o", "k"), F.lit(1).alias("side"), "cls").union(
+        beyond.withColumn("k", each("inner")).select(_task("l", "root", "o", "k"), F.lit(0), "cls")
+    )
+    met = beyond.withColumn("p", each("outer"))
+    side = F.when(F.col("o") == F.col("p"), 2).when(F.col("o") < F.col("p"), 0).otherwise(1)
+    return across.union(met.select(_task("o", "root", F.least("o", "p"), F.greatest("o", "p")), side, "cls"))
 
 
 def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
@@ -389,15 +460,14 @@ def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
         _classes(n), "doc_id long, part string, n_shingles long, cls long"
     )
     sized = stored(sized, "classes")
-    groups = stored(_groups(rows, n, percent), "groups")
-    # a group of many sets is dealt to blocks
-    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    placed = groups.join(sizes, "root").select(
-        F.col("node").alias("cls"),
-        "root",
-        "blocks",
-        F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"),
-    )
+    candidates = _candidates(rows, n, percent)
+    groups = stored(components(candidates.select("a", "b")), "groups")
+    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    placed = stored(groups.join(sizes, "root").select(F.col("node").alias("cls"), "root", "size"), "placed")
+    free = candidates.where("free").select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    hot = placed.where(F.col("size") > block).join(free, "cls")
+    many = hot.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    hot = stored(hot.join(many, "root").select("cls", "root", "blocks"), "hot")
     # one document of each class speaks for it
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "part")).alias("of")
     speakers = (
@@ -405,18 +475,20 @@ def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
         .groupBy("cls")
         .agg(first)
         .join(placed, "cls")
-        .select("cls", "root", "blocks", "block", F.col("of.doc_id").alias("id"), F.col("of.part").alias("of"))
+        .select("cls", F.col("of.doc_id").alias("id"), F.col("of.part").alias("of"))
     )
     keyed = rows.withColumn("part", text_key())
     spoken = keyed.join(speakers, keyed["doc_id"].eqNullSafe(F.col("id")) & (F.col("part") == F.col("of")))
-    spoken = spoken.select("text", "cls", "root", "blocks", "block").dropDuplicates(["cls"])
-    texts = stored(spoken, "texts")
-    other = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))
-    pairs = texts.withColumn("other", other).select(
-        "cls", "text", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
-    links = pairs.groupBy("root", "i", "j").applyInPandas(_join_blocks(n, percent), "a long, b long")
+    texts = stored(spoken.select("text", "cls").dropDuplicates(["cls"]), "texts")
+
+    def links_of(tasks: DataFrame) -> DataFrame:
+        return tasks.join(texts, "cls").groupBy("task").applyInPandas(_join_task(n, percent), "a long, b long")
+
+    links = stored(links_of(_first_tasks(candidates, placed, hot, block)), "links")
     found = components(links)
+    if not hot.where("blocks > 1").isEmpty():
+        found = stored(found, "found")
+        found = components(links.union(links_of(_last_tasks(hot, found, block))))
     member = sized.join(found, sized["cls"] == found["node"], "left").select(
         "doc_id", "part", "n_shingles", F.when(F.col("cls") != 0, F.coalesce("root", "cls")).alias("cluster")
     )
