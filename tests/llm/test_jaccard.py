@@ -98,33 +98,6 @@ def test_tree_and_keys_lose_no_link(percent):
             assert len(both) >= max(max(made[a][k], made[b][k]) for k in both)
 
 
-def test_many_different_near_copies_and_strays(spark, docs_of, monkeypatch):
-    """A group of far more than one block: near copies that are all different, chains at its rim,
-    and texts that share keys with it and do not link."""
-    monkeypatch.setattr(jaccard, "HOT", 8)
-    words_of = [f"w{j}" for j in range(60)]
-    docs = []
-    for k in range(600):
-        text = list(words_of)
-        text[k % 60] = f"x{k}"
-        docs.append((k, " ".join(text)))
-    chain = list(words_of)
-    for k in range(30):  # each one word further away
-        chain[2 * k] = f"c{k}"
-        docs.append((1000 + k, " ".join(chain)))
-    for k in range(40):  # half of the words
-        docs.append((2000 + k, " ".join(words_of[:30] + [f"y{k}_{j}" for j in range(30)])))
-    made = []
-    first, last = jaccard._first_tasks, jaccard._last_tasks
-    monkeypatch.setattr(jaccard, "_first_tasks", lambda *a: made.append(first(*a)) or made[-1])
-    monkeypatch.setattr(jaccard, "_last_tasks", lambda *a: made.append(last(*a)) or made[-1])
-    rows = jaccard.join(docs_of(docs), 5, 80, 32).collect()
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
-    assert [got[i] for i, _ in docs] == brute(docs, 5, 80)
-    assert len(made) == 2
-    assert made[0].groupBy("task").count().agg({"count": "max"}).first()[0] < 100
-
-
 def test_edge_rows(spark, docs_of):
     text = " ".join(f"w{k}" for k in range(30))
     docs = docs_of([(None, text), (None, text), (7, text), (7, text), (7, "other words here"), (3, text + " w"), (9, None)])
