@@ -99,3 +99,24 @@ def test_a_heavy_group_is_offset_by_all_chunks(spark, percent):
     assert max(total) <= max(1.001 * share, sizes["heavy"])
     others = sorted(total)[: 7 if sizes["heavy"] > share else 8]
     assert others[-1] - others[0] <= 0.002 * share
+
+
+def test_differencing_is_the_plain_one():
+    """Partitions as lists of bins of members, combined two at a time, the widest spread first."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        sizes = rng.integers(1, 60, 40).tolist()
+        partitions = [[(size, [k]), (0, []), (0, [])] for k, size in enumerate(sizes)]
+        while len(partitions) > 1:
+            spreads = [max(b[0] for b in p) - min(b[0] for b in p) for p in partitions]
+            first, second = sorted(range(len(partitions)), key=lambda k: -spreads[k])[:2]
+            high = sorted(partitions[first], key=lambda b: -b[0])
+            low = sorted(partitions[second], key=lambda b: b[0])
+            partitions = [p for k, p in enumerate(partitions) if k not in (first, second)]
+            partitions.append([(a + b, x + y) for (a, x), (b, y) in zip(high, low)])
+        parts = np.zeros((len(sizes), 3), dtype=np.int64)
+        parts[:, 0] = sizes
+        last, places = sharding.difference(parts)
+        assert last.tolist() == [size for size, _ in partitions[0]]
+        for bin_, (_, members) in enumerate(partitions[0]):
+            assert sorted(members) == np.flatnonzero(places[:, 0] == bin_).tolist()
