@@ -2,24 +2,27 @@
 
 1. *Sets.* A document's set is its distinct shingles of ``n`` words (A-Z lowered), as 64-bit
    hashes in ascending order: the global order. Equal sets are one class.
-2. *Meeting.* Two sets of sizes a and b link when their difference has at most
-   d = (1 - t) / (1 + t) * (a + b) shingles. The space of hashes is cut into more than d equal
-   ranges: two linked sets agree on at least one range, shingle for shingle. A row per range
-   and set goes to its key; sets that share as many keys as linked sets must are near each
-   other, and the components of that relation are the groups in which links are looked for.
-   Nothing is lost: the number of ranges follows from the sizes (classes of sizes by the factor
-   t, each set in its own class and the next), empty ranges count only for sets that have more
-   of them than the spare ranges make up for, and a key of very many sets puts them all together
-   instead of counting for each pair.
-3. *Join.* In a group the ordered sets form a prefix tree. All sets of a block walk down the
-   tree of another block together, level by level; sets with a common prefix are one node and
+2. *Meeting.* The shingles of a set are put in order of how frequent they are in the corpus,
+   rare ones first. Where sets of sizes a and b link, the first a - ceil(t a) + k of the one and
+   the first b - ceil(t b) + k of the other have k shingles or more in common, for any k up to
+   the overlap, whatever the order; k is a twentieth of the smaller size, and 1 more. A row for
+   each of these shingles goes to its key, and sets of sizes that can link and that share k keys
+   are a candidate pair. What many documents have in common comes last in the order, so a key
+   has few sets, but where they are near copies. A key of more than ``HOT`` sets does not count
+   for each pair: it puts its sets into one dense group. The frequencies are counts by 16 bits
+   of the hash (a table of fixed size); a wrong one costs time but never a link.
+3. *Join.* The ordered sets of a task form a prefix tree. All sets of one side walk down the
+   tree of the other together, level by level; sets with a common prefix are one node and
    share the overlap found so far. A subtree is left when the overlap so far and what remains
-   on both sides cannot reach the threshold for the smallest set below it.
+   on both sides cannot reach the threshold for the smallest set below it. A task returns a
+   spanning forest of its links. Components of candidates of up to ``block`` sets are a task
+   each. In larger ones the dense groups are dealt to blocks, ``DEALS`` times anew, so that near
+   copies of one text become one component in linear time; then the candidate pairs that are
+   not in one component are compared, and the sets of a dense group outside its largest
+   component with all others of it. Dense sets that do not link cost the square of their number.
 4. *Components* of the links, over classes, give each document its class id.
 
-A group is never gathered whole: it is dealt to blocks of ``block`` sets, and pairs of blocks
-are joined in tasks of their own, which return a spanning forest of their links instead of all
-pairs. Copies are folded before anything is paired.
+No group is gathered whole, and copies are folded before anything is paired.
 
 Rows: a missing or empty text, or one without words, has an empty set and links with nothing;
 fewer words than ``n`` are one shingle. Rows that repeat a doc_id are separate documents that
@@ -29,13 +32,12 @@ class has none. An empty table gives an empty result. Other columns are not read
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavola.llm import words
@@ -52,31 +54,12 @@ def required(a: int, b: int, percent: int) -> int:
     return -(-(a + b) * percent // (100 + percent))
 
 
-def size_classes(percent: int, most: int = 1 << 40) -> list[int]:
-    """The smallest size of each class: a set links only inside its class or the next to it."""
-    low = [1]
-    while low[-1] < most:
-        low.append(max(low[-1] + 1, low[-1] * 100 // percent + 1))
-    return low
-
-
-def ranges_for(largest: int, percent: int) -> tuple[int, int]:
-    """Ranges to cut the hashes into for sets up to ``largest``, and how many are spare.
-
-    Without the spare ones, more than the greatest difference of two linked sets. Spare ranges
-    make up for those that hold no shingle: as many as a set of the smallest size that may link
-    here has but for rare cases.
-    """
-    least = 2 * largest * (100 - percent) // (100 + percent) + 1
-    smallest = largest * percent * percent / 10_000
-    count = least
-    for _ in range(30):
-        empty = count * math.exp(-smallest / count)
-        spare = 0 if empty < 0.01 else math.ceil(empty + 3 * math.sqrt(empty))
-        if least + spare == count or least + spare > 3 * least:
-            break
-        count = least + spare
-    return count, count - least
+def prefix(size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many of the first shingles of a set are its keys, and how many of them a linked set of
+    this size or larger has too."""
+    least = -(-size * percent // 100)
+    common = np.minimum(1 + size // 20, least)
+    return size - least + common, common
 
 
 def _slices(batches: Iterator[pa.RecordBatch], n: int):
@@ -97,73 +80,74 @@ def _class_of(value: np.ndarray, of: np.ndarray, rows: int) -> tuple[np.ndarray,
     return size, np.where(size > 0, name, 0).view(np.int64)
 
 
+#: Shingles are counted by so many bits of their hash.
+BITS = 16
+
+
+def _bucket(value: np.ndarray) -> np.ndarray:
+    return (value >> np.uint64(64 - BITS)).astype(np.int64)
+
+
 def _classes(n: int):
+    """A row for each document, and one for each bucket of shingles with the task's count."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "part", "n_shingles", "cls", "bucket", "n"]
+        counts = np.zeros(1 << BITS, dtype=np.int64)
         for batch, first, rows, value, of in _slices(batches, n):
             size, name = _class_of(value, of, rows)
+            counts += np.bincount(_bucket(value), minlength=1 << BITS)
             of_rows = [batch.column(c).slice(first, rows) for c in ("doc_id", "part")]
-            yield pa.RecordBatch.from_arrays(
-                [*of_rows, pa.array(size), pa.array(name)], names=["doc_id", "part", "n_shingles", "cls"]
-            )
+            none = [pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*of_rows, pa.array(size), pa.array(name), *none], names=names)
+        some = np.flatnonzero(counts)
+        none = [pa.nulls(len(some), t) for t in (pa.int64(), pa.string(), pa.int64(), pa.int64())]
+        counted = [pa.array(some.astype(np.int32)), pa.array(counts[some])]
+        yield pa.RecordBatch.from_arrays([*none, *counted], names=names)
 
     return run
 
 
-def _keys(n: int, percent: int):
-    """A row (key, cls, need) for each range of each set, once for each set that a task meets."""
+def _frequencies(classes: DataFrame) -> np.ndarray:
+    """Shingles of each bucket, of which there are 2 ** BITS."""
+    total = np.zeros(1 << BITS, dtype=np.int64)
+    for bucket, n in classes.where("bucket is not null").groupBy("bucket").agg(F.sum("n")).collect():
+        total[bucket] = n
+    return total
+
+
+def first_shingles(
+    value: np.ndarray, of: np.ndarray, size: np.ndarray, frequency: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of sets and their rows: the first shingles by the frequency of their bucket."""
+    order = np.lexsort((value, frequency[_bucket(value)], of))
+    nth = np.arange(len(value)) - np.repeat(np.cumsum(size) - size, size)
+    keep = nth < np.repeat(prefix(size, percent)[0], size)
+    return value[order][keep], of[keep]
+
+
+def _keys(n: int, percent: int, frequency: np.ndarray):
+    """A row (key, cls, size) for each key of each set, once for each set that a task meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = np.array(size_classes(percent), dtype=np.int64)
         seen: set[int] = set()
         for _, _, rows, value, of in _slices(batches, n):
             size, name = _class_of(value, of, rows)
-            begin = np.cumsum(size) - size
-            keys, of_class, needs = [], [], []
-            for k in np.flatnonzero(size):
-                cls = int(name[k])
-                if cls in seen:
-                    continue
+            new = np.zeros(rows, dtype=bool)
+            for k in np.flatnonzero(size).tolist():
+                new[k] = (cls := int(name[k])) not in seen
                 seen.add(cls)
-                members = value[begin[k] : begin[k] + size[k]]
-                own = int(np.searchsorted(low, size[k], side="right")) - 1
-                # pairs of own class and the next meet in the space of the larger class
-                for c in (own, own + 1):
-                    made, need = _range_keys(members, c, *ranges_for(int(low[c + 1]) - 1, percent))
-                    keys.append(made)
-                    of_class.append(np.full(len(made), cls, dtype=np.int64))
-                    needs.append(np.full(len(made), need, dtype=np.int32))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(keys).view(np.int64)),
-                        pa.array(np.concatenate(of_class)),
-                        pa.array(np.concatenate(needs)),
-                    ],
-                    names=["key", "cls", "need"],
-                )
+            mine = new[of]
+            size = np.where(new, size, 0)
+            key, row = first_shingles(value[mine], of[mine], size, frequency, percent)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(name[row]), pa.array(size[row].astype(np.int32))],
+                names=["key", "cls", "size"],
+            )
 
     return run
 
 
-def _range_keys(members: np.ndarray, c: int, count: int, spare: int) -> tuple[np.ndarray, int]:
-    """One key for each range with shingles, for empty ranges too if too many are empty; and how
-    many keys at least a linked set shares with this one.
-
-    Linked sets agree on ``spare`` + 1 ranges or more, of which no more are empty than are empty
-    here.
-    """
-    where = ((members >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
-    start = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
-    total = np.add.reduceat(words.mix(members), start)
-    space = words.mix(np.array([c + 1], dtype=np.uint64))
-    keys = words.mix(total + words.mix(where[start] + space))
-    empty = count - len(start)
-    if empty <= spare:
-        return keys, spare + 1 - empty
-    none = np.setdiff1d(np.arange(count, dtype=np.uint64), where[start])
-    return np.append(keys, words.mix(words.mix(none + space))), 1
-
-
 def tree_links(
     sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -282,18 +266,20 @@ def _forest(n: int, x: np.ndarray, y: np.ndarray) -> tuple[list[int], list[int]]
     return keep_x, keep_y
 
 
-def _join_blocks(n: int, percent: int):
+def _join_task(n: int, percent: int):
+    """Links of the sets of one task: those of side 0 with those of side 1, those of side 2 with
+    each other; a spanning forest of them."""
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        # by size, then place, so that the walk does not depend on the order of rows
+        # in order of the class, so that the walk does not depend on the order of rows
         frame = frame.drop_duplicates("cls").sort_values("cls", kind="stable")
         data, begin, end, row = words.spans(pa.array(frame["text"], pa.large_string()))
         value, of = words.sets(words.hashes(data, begin, end, lower=True), row, n)
         size = np.bincount(of, minlength=len(frame))
         sets = np.split(value, np.cumsum(size)[:-1])
-        i, j = int(frame["i"].iloc[0]), int(frame["j"].iloc[0])
-        block = frame["block"].to_numpy()
+        side = frame["side"].to_numpy()
         names = frame["cls"].to_numpy()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         if not len(left) or not len(right):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         x, y = tree_links(sets, left, right, percent)
@@ -308,75 +294,163 @@ def _join_blocks(n: int, percent: int):
 HOT = 64
 
 
-def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in order of (key, cls): pairs (a, b) with the keys that they share and the keys
-    that they need. A key of many classes puts all of them with the least one, at no need."""
-    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
-    hot_key = hot_least = None
+def _edges(percent: int):
+    """From rows in order of (key, cls): pairs (a, b) of sizes that can link, with the keys that
+    they share and the keys that they need. A key of many classes puts all of them with the least
+    one, at no need (free)."""
 
-    def pairs(key, cls, need):
-        nonlocal hot_key, hot_least
+    def pairs(key, cls, size, hot):
+        """The rows of whole keys; ``hot`` (key, least class) if the first key went before."""
         new = np.ones(len(key), dtype=bool)
         new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-        key, cls, need = key[new], cls[new], need[new]
+        key, cls, size = key[new], cls[new], size[new]
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(start, len(key)))
-        end = np.repeat(start + size, size)
-        many = np.repeat(size > HOT, size)
-        if hot_key is not None and key[0] == hot_key:
-            many[: size[0]] = True
-        least = np.repeat(cls[start], size)
-        if hot_key is not None and key[0] == hot_key:
-            least[: size[0]] = hot_least
-        if many[-1]:
-            hot_key, hot_least = key[-1], least[-1]
+        count = np.diff(np.append(start, len(key)))
+        end = np.repeat(start + count, count)
+        many = np.repeat(count > HOT, count)
+        least = np.repeat(cls[start], count)
+        if hot is not None and key[0] == hot[0]:
+            many[: count[0]], least[: count[0]] = True, hot[1]
         star = many & (cls != least)
         here = np.flatnonzero(~many)
         left = np.repeat(here, end[here] - here - 1)
         right = expand(here + 1, end[here])
+        small, large = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+        near = 100 * small >= percent * large
+        left, right, small = left[near], right[near], small[near]
         a = np.concatenate([least[star], cls[left]])
         b = np.concatenate([cls[star], cls[right]])
-        shares = np.concatenate([np.zeros(int(star.sum()), np.int32), np.maximum(need[left], need[right])])
-        order = np.lexsort((b, a))
-        a, b, shares = a[order], b[order], shares[order]
-        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else order
-        count = np.diff(np.append(first, len(a)))
-        # no need of a hot key holds for the pair whatever its other keys ask for
-        free = np.minimum.reduceat(shares, first) == 0 if len(a) else np.zeros(0, bool)
-        wanted = np.maximum.reduceat(shares, first) if len(a) else np.zeros(0, np.int32)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a[first]), pa.array(b[first]), pa.array(count.astype(np.int64)), pa.array(wanted), pa.array(free)],
-            names=["a", "b", "shared", "need", "free"],
+        need = np.concatenate([np.zeros(int(star.sum()), np.int64), prefix(small, percent)[1]])
+        order = np.lexsort((b, a, need == 0))
+        a, b, need = a[order], b[order], need[order]
+        first = np.ones(len(a), dtype=bool)
+        first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (need[1:] != need[:-1])
+        first = np.flatnonzero(first)
+        shared = np.diff(np.append(first, len(a)))
+        columns = [a[first], b[first], shared, need[first], need[first] == 0]
+        rows = pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], names=["a", "b", "shared", "need", "free"]
         )
+        return rows, (key[-1], least[-1]) if many[-1] else None
 
-    for batch in batches:
-        rows = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("key", "cls", "need"))]
-        if not len(rows[0]):
-            continue
-        # the last key may go on: its classes wait, unless they are many already
-        last = int(np.searchsorted(rows[0], rows[0][-1]))
-        _, once = np.unique(rows[1][last:], return_index=True)
-        held = [r[last:][once] for r in rows]
-        if len(once) > HOT:
-            last = len(rows[0])
-            held = [h[:0] for h in held]
-        if last:
-            yield pairs(*(r[:last] for r in rows))
-    if len(held[0]):
-        yield pairs(*held)
-
-
-def _groups(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """Components of the sets that share enough keys: node (a class) and root."""
-    keyed = rows.select("text").mapInArrow(_keys(n, percent), "key long, cls long, need int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 3
+        hot = None
+        for batch in batches:
+            columns = [batch.column(c).to_numpy().astype(np.int64) for c in ("key", "cls", "size")]
+            rows = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+            if not len(rows[0]):
+                continue
+            # the last key may go on: its classes wait, unless they are many already
+            last = int(np.searchsorted(rows[0], rows[0][-1]))
+            _, once = np.unique(rows[1][last:], return_index=True)
+            held = [r[last:][once] for r in rows]
+            if len(once) > HOT:
+                last = len(rows[0])
+                held = [h[:0] for h in held]
+            if last:
+                made, hot = pairs(*(r[:last] for r in rows), hot)
+                yield made
+        if len(held[0]):
+            yield pairs(*held, hot)[0]
+
+    return run
+
+
+def _candidates(rows: DataFrame, n: int, percent: int, frequency: np.ndarray) -> DataFrame:
+    """Pairs of classes (a, b) that share enough keys, and those that stand for a key of many
+    classes (free): all classes of such a key are candidates of each other."""
+    keyed = rows.select("text").mapInArrow(_keys(n, percent, frequency), "key long, cls long, size int")
     met = keyed.repartition("key").sortWithinPartitions("key", "cls")
-    pairs = met.mapInArrow(_edges, "a long, b long, shared long, need int, free boolean")
+    pairs = met.mapInArrow(_edges(percent), "a long, b long, shared long, need long, free boolean")
     enough = (
-        pairs.groupBy("a", "b")
-        .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"), F.max("free").alias("free"))
+        pairs.groupBy("a", "b", "free")
+        .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
         .where(F.col("free") | (F.col("shared") >= F.col("need")))
     )
-    return components(enough.select("a", "b"))
+    return stored(enough.select("a", "b", "free"), "candidates")
+
+
+#: How often the sets of a dense group are dealt to blocks anew before what is left is compared.
+DEALS = 3
+
+
+def _task(kind: str, *parts: str | Column) -> Column:
+    return F.concat_ws("-", F.lit(kind), *parts).alias("task")
+
+
+def _dense(pairs: DataFrame, block: int) -> DataFrame:
+    """cls, root and blocks of the classes that keys of many classes put together."""
+    dense = stored(components(pairs.where("free").select("a", "b")), "dense")
+    sizes = dense.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    return stored(dense.join(sizes, "root").select(F.col("node").alias("cls"), "root", "blocks"), "blocks")
+
+
+def _dealt(dense: DataFrame) -> DataFrame:
+    """(task, side, cls): dense groups in blocks, those of several blocks ``DEALS`` times."""
+    tasks = None
+    for deal in range(DEALS):
+        nth = F.pmod(F.xxhash64("cls", F.lit(deal)), "blocks")
+        of_deal = (dense.where("blocks > 1") if deal else dense).select(
+            _task(f"h{deal}", "root", nth), F.lit(2).alias("side"), "cls"
+        )
+        tasks = of_deal if tasks is None else tasks.union(of_deal)
+    return tasks
+
+
+def _pair_tasks(pairs: DataFrame, linked: DataFrame, block: int) -> DataFrame:
+    """(task, side, cls): the candidates of each class that are not in one component with it."""
+    of = linked.select("node", F.col("root").alias("of"))
+    apart = (
+        pairs.where("not free")
+        .join(of.toDF("a", "of_a"), "a", "left")
+        .join(of.toDF("b", "of_b"), "b", "left")
+        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+        .select("a", "b")
+    )
+    apart = stored(apart, "apart")
+    parts = apart.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
+    stars = apart.join(parts, "a").withColumn("nth", F.pmod(F.xxhash64("b"), "parts"))
+    of_star = _task("s", "a", "nth")
+    return stars.select(of_star, F.lit(1).alias("side"), F.col("b").alias("cls")).union(
+        stars.select(of_star, F.lit(0), F.col("a")).distinct()
+    )
+
+
+def _last_tasks(dense: DataFrame, linked: DataFrame, block: int) -> DataFrame:
+    """(task, side, cls): of the sets of a dense group of several blocks, those outside its largest
+    component so far with all others. Where all are one component there is nothing left to compare."""
+    component = F.coalesce("of", "cls").alias("component")
+    found = dense.where("blocks > 1").join(
+        linked.select(F.col("node").alias("cls"), F.col("root").alias("of")), "cls", "left"
+    )
+    found = stored(found.select("root", "cls", component), "found")
+    sizes = found.groupBy("root", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("root").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("total")
+    )
+    counts = largest.where("total > top.n").select(
+        "root",
+        F.col("top.component").alias("largest"),
+        F.ceil(F.col("top.n") / block).cast("int").alias("inner"),
+        F.ceil((F.col("total") - F.col("top.n")) / block).cast("int").alias("outer"),
+    )
+    counts = stored(counts, "counts")
+    rows = found.join(counts, "root")
+    inside = F.col("component") == F.col("largest")
+    own = F.xxhash64("cls", F.lit(DEALS))
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    within = rows.where(inside).withColumns({"k": F.pmod(own, "inner"), "o": each("outer")})
+    beyond = rows.where(~inside).withColumn("o", F.pmod(own, "outer"))
+    across = within.select(_task("l", "root", "o", "k"), F.lit(1).alias("side"), "cls").union(
+        beyond.withColumn("k", each("inner")).select(_task("l", "root", "o", "k"), F.lit(0), "cls")
+    )
+    met = beyond.withColumn("p", each("outer"))
+    side = F.when(F.col("o") == F.col("p"), 2).when(F.col("o") < F.col("p"), 0).otherwise(1)
+    return across.union(met.select(_task("o", "root", F.least("o", "p"), F.greatest("o", "p")), side, "cls"))
 
 
 def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
@@ -385,19 +459,18 @@ def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
     Two documents link when 100 * intersection >= ``percent`` * union of their sets.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sized = rows.withColumn("part", text_key()).mapInArrow(
-        _classes(n), "doc_id long, part string, n_shingles long, cls long"
-    )
-    sized = stored(sized, "classes")
-    groups = stored(_groups(rows, n, percent), "groups")
-    # a group of many sets is dealt to blocks
-    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    placed = groups.join(sizes, "root").select(
-        F.col("node").alias("cls"),
-        "root",
-        "blocks",
-        F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"),
+    keyed = rows.withColumn("part", text_key())
+    classes = stored(
+        keyed.mapInArrow(
+            _classes(n), "doc_id long, part string, n_shingles long, cls long, bucket int, n long"
+        ),
+        "classes",
     )
+    sized = classes.where("bucket is null").drop("bucket", "n")
+    candidates = _candidates(rows, n, percent, _frequencies(classes))
+    groups = stored(components(candidates.select("a", "b")), "groups")
+    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    placed = stored(groups.join(sizes, "root").select(F.col("node").alias("cls"), "root", "size"), "placed")
     # one document of each class speaks for it
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "part")).alias("of")
     speakers = (
@@ -405,18 +478,25 @@ def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
         .groupBy("cls")
         .agg(first)
         .join(placed, "cls")
-        .select("cls", "root", "blocks", "block", F.col("of.doc_id").alias("id"), F.col("of.part").alias("of"))
+        .select("cls", F.col("of.doc_id").alias("id"), F.col("of.part").alias("of"))
     )
-    keyed = rows.withColumn("part", text_key())
     spoken = keyed.join(speakers, keyed["doc_id"].eqNullSafe(F.col("id")) & (F.col("part") == F.col("of")))
-    spoken = spoken.select("text", "cls", "root", "blocks", "block").dropDuplicates(["cls"])
-    texts = stored(spoken, "texts")
-    other = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))
-    pairs = texts.withColumn("other", other).select(
-        "cls", "text", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
-    links = pairs.groupBy("root", "i", "j").applyInPandas(_join_blocks(n, percent), "a long, b long")
-    found = components(links)
+    texts = stored(spoken.select("text", "cls").dropDuplicates(["cls"]), "texts")
+
+    def links_of(tasks: DataFrame) -> DataFrame:
+        return tasks.join(texts, "cls").groupBy("task").applyInPandas(_join_task(n, percent), "a long, b long")
+
+    whole = placed.where(F.col("size") <= block).select(_task("g", "root"), F.lit(2).alias("side"), "cls")
+    larger = placed.where(F.col("size") > block).select("cls")
+    if larger.isEmpty():
+        found = components(links_of(whole))
+    else:
+        pairs = stored(candidates.join(larger.withColumnRenamed("cls", "a"), "a", "left_semi"), "pairs")
+        dense = _dense(pairs, block)
+        links = stored(links_of(whole.union(_dealt(dense))), "links")
+        found = stored(components(links), "found")
+        rest = _pair_tasks(pairs, found, block).union(_last_tasks(dense, found, block))
+        found = components(links.union(links_of(rest)))
     member = sized.join(found, sized["cls"] == found["node"], "left").select(
         "doc_id", "part", "n_shingles", F.when(F.col("cls") != 0, F.coalesce("root", "cls")).alias("cluster")
     )

@@ -66,12 +66,7 @@ def test_equals_brute_force(spark, docs_of, monkeypatch, n, percent, block, hot)
 @pytest.mark.parametrize("percent", (80, 90))
 def test_tree_and_keys_lose_no_link(percent):
     rng = np.random.default_rng(percent)
-    low = np.array(jaccard.size_classes(percent))
-
-    def keys(s):
-        own = int(np.searchsorted(low, len(s), side="right")) - 1
-        made = [jaccard._range_keys(s, c, *jaccard.ranges_for(int(low[c + 1]) - 1, percent)) for c in (own, own + 1)]
-        return {(k, need) for some, need in made for k in some.tolist()}
+    frequency = rng.integers(0, 5, 1 << jaccard.BITS)
 
     for _ in range(25):
         base = [rng.integers(0, 1 << 63, int(rng.integers(1, 80)), dtype=np.uint64) for _ in range(5)]
@@ -92,10 +87,39 @@ def test_tree_and_keys_lose_no_link(percent):
             if 100 * len(np.intersect1d(sets[a], sets[b])) >= percent * len(np.union1d(sets[a], sets[b]))
         }
         assert set(zip(x.tolist(), y.tolist())) == links and len(x) == len(links)
-        made = [dict(keys(s)) for s in sets]
+        size = np.array([len(s) for s in sets])
+        key, row = jaccard.first_shingles(
+            np.concatenate(sets), np.repeat(places, size), size, frequency, percent
+        )
+        made = [set(key[row == k].tolist()) for k in places]
+        need = jaccard.prefix(size, percent)[1]
         for a, b in links:
-            both = made[a].keys() & made[b].keys()
-            assert len(both) >= max(max(made[a][k], made[b][k]) for k in both)
+            assert len(made[a] & made[b]) >= min(need[a], need[b])
+
+
+def test_many_different_near_copies_and_strays(spark, docs_of, monkeypatch):
+    """A group of far more than one block: near copies that are all different, chains at its rim,
+    and texts that share keys with it and do not link."""
+    monkeypatch.setattr(jaccard, "HOT", 8)
+    words_of = [f"w{j}" for j in range(60)]
+    docs = []
+    for k in range(600):
+        text = list(words_of)
+        text[k % 60] = f"x{k}"
+        docs.append((k, " ".join(text)))
+    chain = list(words_of)
+    for k in range(30):  # each one word further away
+        chain[2 * k] = f"c{k}"
+        docs.append((1000 + k, " ".join(chain)))
+    for k in range(40):  # half of the words
+        docs.append((2000 + k, " ".join(words_of[:30] + [f"y{k}_{j}" for j in range(30)])))
+    dealt, made = jaccard._dealt, []
+    monkeypatch.setattr(jaccard, "_dealt", lambda *a: made.append(dealt(*a)) or made[-1])
+    rows = jaccard.join(docs_of(docs), 5, 80, 32).collect()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
+    assert [got[i] for i, _ in docs] == brute(docs, 5, 80)
+    sizes = [r["count"] for r in made[0].groupBy("task").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 100
 
 
 def test_edge_rows(spark, docs_of):
