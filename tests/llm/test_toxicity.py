@@ -132,3 +132,72 @@ def test_scores_are_those_of_a_plain_convolution():
         votes = sum((model.languages[p] for p in words), np.zeros(2))
         odds = float(np.dot(pooled, net.out) + net.out_bias[0]) - model.shift[int(np.argmax(votes))]
         assert got[k] == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-5)
+
+
+@pytest.fixture(scope="module")
+def many_kinds(spark):
+    """Toxic texts have one of 40 words; a start of 30 rows holds a few of these only."""
+    rng = random.Random(11)
+    docs, labels = [], []
+    for i in range(2400):
+        toxic = int(i % 3 == 0)
+        words = [f"w{rng.randint(0, 200)}" for _ in range(rng.randint(10, 30))]
+        if toxic:
+            words[rng.randrange(len(words))] = f"bad{rng.randrange(40)}"
+        docs.append((i, " ".join(words), "a"))
+        labels.append((i, 1, toxic))
+    return (
+        docs, labels,
+        spark.createDataFrame(docs, "doc_id long, text string, lang string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+    )
+
+
+def test_all_rows_are_learnt_not_only_those_of_the_start(many_kinds):
+    _, labels, docs, table = many_kinds
+    truth = {i: t for i, _, t in labels}
+    got = toxicity.fit_and_score(docs, table, rows=30).where("held_out").collect()
+    caught = [r["predicted"] for r in got if truth[r["doc_id"]]]
+    assert np.mean(caught) > 0.8
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in got]) > 0.9
+
+
+def test_words_and_thresholds_come_from_all_rows(spark, many_kinds):
+    from collections import Counter
+
+    docs, labels, table, marks = many_kinds
+    toxic = [d for d, (_, _, t) in zip(docs, labels) if t]
+    training = toxicity._training(table, marks, toxicity.F.lit(True))
+    known, counts = toxicity._known(training, len(toxic), len(docs) - len(toxic))
+    all_words, met = Counter(), Counter()
+    for _, text, _ in docs:
+        all_words.update(text.split())
+        met.update(set(text.split()))
+    hash_of = {w: int(toxicity._hashed(pa.array([w]))[0][0]) for w in met}
+    assert set(known.tolist()) == {hash_of[w] for w, n in met.items() if n >= 3}
+    told = {h & (2**64 - 1): n for h, n in zip(counts["hash"].to_pylist(), counts["n"].to_pylist())}
+    assert told == {hash_of[w]: n for w, n in all_words.items() if met[w] >= 3}
+    assert [r["aside"] for r in training.orderBy("doc_id").collect()].count(True) == len(docs) // 5
+
+    model = toxicity.fit(table, marks, toxicity.F.lit(True), rows=30)
+    aside = {r["doc_id"] for r in training.where("aside").collect()}
+    texts = [(text, t) for (i, text, _), (_, _, t) in zip(docs, labels) if i in aside]
+    hashed, row = toxicity._hashed(pa.array([t for t, _ in texts]))
+    odds = model.odds(model.vocabulary.places(hashed), row, len(texts))
+    truth = np.array([t for _, t in texts])
+
+    def f1(border):
+        said = odds >= border
+        return 2 * (said & (truth == 1)).sum() / (said.sum() + truth.sum())
+
+    assert f1(model.shift[0]) >= max(f1(x) for x in odds) - 1e-9
+
+
+def test_texts_without_words_and_rows_all_aside(spark):
+    docs = spark.createDataFrame([(k, (None, "", "!")[k % 3], None) for k in range(12)], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(k, 1, k % 2) for k in range(12)], "doc_id long, quality int, toxic int")
+    for allowed in ("true", "doc_id in (4, 8)"):  # 4 and 8 are kept aside
+        model = toxicity.fit(docs, marks, toxicity.F.expr(allowed))
+        got = toxicity.score(docs, model).collect() if model else []
+        assert all(0 <= r["score"] <= 1 for r in got)
+    assert toxicity.fit(docs, marks, toxicity.F.expr("doc_id = 4")) is None
