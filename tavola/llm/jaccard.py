@@ -9,8 +9,9 @@
    each of these shingles goes to its key, and sets of sizes that can link and that share k keys
    are a candidate pair. What many documents have in common comes last in the order, so a key
    has few sets, but where they are near copies. A key of more than ``HOT`` sets does not count
-   for each pair: it puts its sets into one dense group. The frequencies are counts by 16 bits
-   of the hash (a table of fixed size); a wrong one costs time but never a link.
+   for each pair: it puts its sets into one dense group. The frequencies are counts by ``BITS``
+   bits of the hash, kept as their logarithm (a table of fixed size); a wrong one costs time but
+   never a link.
 3. *Join.* The ordered sets of a task form a prefix tree. All sets of one side walk down the
    tree of the other together, level by level; sets with a common prefix are one node and
    share the overlap found so far. A subtree is left when the overlap so far and what remains
@@ -19,7 +20,8 @@
    each. In larger ones the dense groups are dealt to blocks, ``DEALS`` times anew, so that near
    copies of one text become one component in linear time; then the candidate pairs that are
    not in one component are compared, and the sets of a dense group outside its largest
-   component with all others of it. Dense sets that do not link cost the square of their number.
+   component with all others of it whose sizes can link. Dense sets of such sizes that do not
+   link cost the square of their number.
 4. *Components* of the links, over classes, give each document its class id.
 
 No group is gathered whole, and copies are folded before anything is paired.
@@ -32,6 +34,7 @@ class has none. An empty table gives an empty result. Other columns are not read
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,8 +83,9 @@ def _class_of(value: np.ndarray, of: np.ndarray, rows: int) -> tuple[np.ndarray,
     return size, np.where(size > 0, name, 0).view(np.int64)
 
 
-#: Shingles are counted by so many bits of their hash.
-BITS = 16
+#: Shingles are counted by so many bits of their hash; the last ``_LOW`` of them are sent as numbers.
+BITS = 24
+_LOW = 16
 
 
 def _bucket(value: np.ndarray) -> np.ndarray:
@@ -89,30 +93,43 @@ def _bucket(value: np.ndarray) -> np.ndarray:
 
 
 def _classes(n: int):
-    """A row for each document, and one for each bucket of shingles with the task's count."""
+    """A row for each document, and one for each block of buckets with those of a part's shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "part", "n_shingles", "cls", "bucket", "n"]
-        counts = np.zeros(1 << BITS, dtype=np.int64)
+        names = ["doc_id", "part", "n_shingles", "cls", "block", "low"]
         for batch, first, rows, value, of in _slices(batches, n):
             size, name = _class_of(value, of, rows)
-            counts += np.bincount(_bucket(value), minlength=1 << BITS)
             of_rows = [batch.column(c).slice(first, rows) for c in ("doc_id", "part")]
-            none = [pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())]
+            none = [pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())]
             yield pa.RecordBatch.from_arrays([*of_rows, pa.array(size), pa.array(name), *none], names=names)
-        some = np.flatnonzero(counts)
-        none = [pa.nulls(len(some), t) for t in (pa.int64(), pa.string(), pa.int64(), pa.int64())]
-        counted = [pa.array(some.astype(np.int32)), pa.array(counts[some])]
-        yield pa.RecordBatch.from_arrays([*none, *counted], names=names)
+            bucket = np.sort(_bucket(value).astype(np.uint32))
+            block, start = np.unique(bucket >> np.uint32(_LOW), return_index=True)
+            parts = np.split((bucket & np.uint32((1 << _LOW) - 1)).astype(np.uint16), start[1:])
+            low = [p.tobytes() for p in parts[: len(block)]]
+            none = [pa.nulls(len(block), t) for t in (pa.int64(), pa.string(), pa.int64(), pa.int64())]
+            counted = [pa.array(block.astype(np.int32)), pa.array(low, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, *counted], names=names)
 
     return run
 
 
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each block, the levels of its buckets: eight times the logarithm of 1 more than the count."""
+    counts: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, low in zip(batch.column("block").to_pylist(), batch.column("low").to_pylist()):
+            total = counts.setdefault(block, np.zeros(1 << _LOW, dtype=np.int64))
+            total += np.bincount(np.frombuffer(low, dtype=np.uint16), minlength=1 << _LOW)
+    levels = [np.rint(8 * np.log2(1 + c)).astype(np.uint8).tobytes() for c in counts.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(levels, pa.binary())], names=["block", "level"])
+
+
 def _frequencies(classes: DataFrame) -> np.ndarray:
-    """Shingles of each bucket, of which there are 2 ** BITS."""
-    total = np.zeros(1 << BITS, dtype=np.int64)
-    for bucket, n in classes.where("bucket is not null").groupBy("bucket").agg(F.sum("n")).collect():
-        total[bucket] = n
+    """The level of each bucket of shingles, of which there are 2 ** BITS."""
+    total = np.zeros(1 << BITS, dtype=np.uint8)
+    rows = classes.where("block is not null").select("block", "low").repartition("block")
+    for block, level in rows.mapInArrow(_levels, "block int, level binary").collect():
+        total[block << _LOW : (block + 1) << _LOW] = np.frombuffer(level, dtype=np.uint8)
     return total
 
 
@@ -417,40 +434,58 @@ def _pair_tasks(pairs: DataFrame, linked: DataFrame, block: int) -> DataFrame:
     )
 
 
-def _last_tasks(dense: DataFrame, linked: DataFrame, block: int) -> DataFrame:
+def _band(percent: int) -> Column:
+    """Sets whose bands differ by more than 1 are of sizes that cannot link."""
+    # a little wider than needed, so that rounding never parts sets that can
+    return F.floor(F.log("n_shingles") / (math.log(100 / percent) + 1e-9)).cast("long").alias("band")
+
+
+def _last_tasks(dense: DataFrame, linked: DataFrame, sizes_of: DataFrame, percent: int, block: int) -> DataFrame:
     """(task, side, cls): of the sets of a dense group of several blocks, those outside its largest
-    component so far with all others. Where all are one component there is nothing left to compare."""
+    component so far with all others of their band and the next. Where all are one component there
+    is nothing left to compare."""
     component = F.coalesce("of", "cls").alias("component")
     found = dense.where("blocks > 1").join(
         linked.select(F.col("node").alias("cls"), F.col("root").alias("of")), "cls", "left"
     )
-    found = stored(found.select("root", "cls", component), "found")
+    found = stored(found.join(sizes_of, "cls").select("root", "cls", component, _band(percent)), "found")
     sizes = found.groupBy("root", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("root").agg(
         F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("total")
     )
-    counts = largest.where("total > top.n").select(
-        "root",
-        F.col("top.component").alias("largest"),
-        F.ceil(F.col("top.n") / block).cast("int").alias("inner"),
-        F.ceil((F.col("total") - F.col("top.n")) / block).cast("int").alias("outer"),
+    largest = stored(
+        largest.where("total > top.n").select("root", F.col("top.component").alias("largest")), "largest"
+    )
+    # each set is in the range of its own band and in that of the band below, as its upper half
+    inside = (F.col("component") == F.col("largest")).alias("inside")
+    rows = found.join(largest, "root").select("root", "cls", "band", inside)
+    halves = rows.withColumn("upper", F.explode(F.array(F.lit(0), F.lit(1))))
+    halves = halves.withColumn("range", F.col("band") - F.col("upper")).drop("band")
+    keys = ["root", "range"]
+    counts = stored(
+        halves.groupBy(*keys).agg(
+            F.count_if("inside").alias("top"), F.count_if(~F.col("inside")).alias("beyond")
+        ).where("beyond > 0").select(
+            *keys,
+            F.greatest(F.lit(1), F.ceil(F.col("top") / block)).cast("int").alias("inner"),
+            F.ceil(F.col("beyond") / block).cast("int").alias("outer"),
+        ),
+        "counts",
     )
-    counts = stored(counts, "counts")
-    rows = found.join(counts, "root")
-    inside = F.col("component") == F.col("largest")
+    rows = halves.join(counts, keys)
     own = F.xxhash64("cls", F.lit(DEALS))
 
     def each(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    within = rows.where(inside).withColumns({"k": F.pmod(own, "inner"), "o": each("outer")})
-    beyond = rows.where(~inside).withColumn("o", F.pmod(own, "outer"))
-    across = within.select(_task("l", "root", "o", "k"), F.lit(1).alias("side"), "cls").union(
-        beyond.withColumn("k", each("inner")).select(_task("l", "root", "o", "k"), F.lit(0), "cls")
+    within = rows.where("inside").withColumns({"k": F.pmod(own, "inner"), "o": each("outer")})
+    beyond = rows.where("not inside").withColumn("o", F.pmod(own, "outer"))
+    across = within.select(_task("l", *keys, "o", "k"), F.lit(1).alias("side"), "cls").union(
+        beyond.withColumn("k", each("inner")).select(_task("l", *keys, "o", "k"), F.lit(0), "cls")
     )
     met = beyond.withColumn("p", each("outer"))
     side = F.when(F.col("o") == F.col("p"), 2).when(F.col("o") < F.col("p"), 0).otherwise(1)
-    return across.union(met.select(_task("o", "root", F.least("o", "p"), F.greatest("o", "p")), side, "cls"))
+    return across.union(met.select(_task("o", *keys, F.least("o", "p"), F.greatest("o", "p")), side, "cls"))
 
 
 def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
@@ -462,11 +497,11 @@ def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
     keyed = rows.withColumn("part", text_key())
     classes = stored(
         keyed.mapInArrow(
-            _classes(n), "doc_id long, part string, n_shingles long, cls long, bucket int, n long"
+            _classes(n), "doc_id long, part string, n_shingles long, cls long, block int, low binary"
         ),
         "classes",
     )
-    sized = classes.where("bucket is null").drop("bucket", "n")
+    sized = classes.where("block is null").drop("block", "low")
     candidates = _candidates(rows, n, percent, _frequencies(classes))
     groups = stored(components(candidates.select("a", "b")), "groups")
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
@@ -495,7 +530,8 @@ def _members(docs: DataFrame, n: int, percent: int, block: int) -> DataFrame:
         dense = _dense(pairs, block)
         links = stored(links_of(whole.union(_dealt(dense))), "links")
         found = stored(components(links), "found")
-        rest = _pair_tasks(pairs, found, block).union(_last_tasks(dense, found, block))
+        sizes_of = sized.where("cls <> 0").groupBy("cls").agg(F.max("n_shingles").alias("n_shingles"))
+        rest = _pair_tasks(pairs, found, block).union(_last_tasks(dense, found, sizes_of, percent, block))
         found = components(links.union(links_of(rest)))
     member = sized.join(found, sized["cls"] == found["node"], "left").select(
         "doc_id", "part", "n_shingles", F.when(F.col("cls") != 0, F.coalesce("root", "cls")).alias("cluster")

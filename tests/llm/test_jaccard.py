@@ -158,3 +158,40 @@ def test_one_row_of_each_group_stays(spark, docs_of):
 
 def test_empty_table(spark, docs_of):
     assert jaccard.digest(docs_of([(1, "x")]).limit(0)).collect() == []
+
+
+def test_last_comparison_is_of_sizes_that_can_link(spark, docs_of, monkeypatch):
+    """Texts of many sizes share a passage whose shingles are keys, as if none were rarer."""
+    monkeypatch.setattr(jaccard, "HOT", 4)
+    monkeypatch.setattr(jaccard, "_frequencies", lambda classes: np.zeros(1 << jaccard.BITS, np.uint8))
+    passage = [f"p{j}" for j in range(60)]
+    docs = []
+    for k in range(150):
+        own = [f"x{k}_{j}" for j in range(int(10 * 1.03**k))]
+        docs.append((k, " ".join(passage + own)))
+        if k % 10 == 0:
+            docs.append((1000 + k, " ".join([*passage, *own[:-1], "z"])))
+    last, made = jaccard._last_tasks, []
+    monkeypatch.setattr(jaccard, "_last_tasks", lambda *a: made.append(last(*a)) or made[-1])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(docs_of(docs), 3, 90, 8).collect()}
+    assert [got[i] for i, _ in docs] == brute(docs, 3, 90)
+    # all with all in blocks of 8 would be up to 165 * 21 rows
+    assert 0 < made[0].count() < 1800
+
+
+def test_frequencies_are_those_of_all_shingles(spark):
+    text = "b c d e f"
+    rows = spark.createDataFrame([(k, "", f"{text} u{k}") for k in range(300)] + [(900, "", None)], "doc_id long, part string, text string")
+    classes = rows.mapInArrow(jaccard._classes(3), "doc_id long, part string, n_shingles long, cls long, block int, low binary")
+    level = jaccard._frequencies(classes)
+    value, _ = jaccard.words.sets(*hashed(text), 3)
+    common = [int(level[b]) for b in jaccard._bucket(value)]
+    assert len(common) == 3 and set(common) == {round(8 * np.log2(301))}
+    assert np.count_nonzero(level == 8) >= 290
+
+
+def hashed(text):
+    import pyarrow as pa
+
+    data, begin, end, row = jaccard.words.spans(pa.array([text]))
+    return jaccard.words.hashes(data, begin, end, lower=True), row
