@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tavola.llm.pieces import PieceIds, expand, texts_and_ids
-from tavola.llm.resident import resident
+from tavola.llm.resident import give_back, resident
 
 SCHEMA = "doc_id long, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string"
 
@@ -246,6 +246,7 @@ def _coder(path: str, keep_ids: bool):
                     [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.string()))],
                     names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"],
                 )
+                give_back()
 
     return run
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tavola.llm import words
 from tavola.llm.pieces import expand
+from tavola.llm.resident import give_back
 
 N = 5
 RADIUS = 19
@@ -39,6 +40,8 @@ BLOCK_BYTES = 128 << 10
 FOUND = "doc_id long, item_id long, first_word long, n_words long, similarity double, distance int"
 #: Places whose running sums are held at a time.
 SPAN = 8192
+#: Bytes of text whose shingles are held at a time.
+PART = 1_000_000
 
 
 def _shingled(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -120,7 +123,7 @@ class Index:
 
     def scan(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, float, int]]:
         """(row, item, first word, words, similarity, distance): the best window of each pair."""
-        for first, part in words.text_slices(texts):
+        for first, part in words.text_slices(texts, PART):
             value, of, weight, n_words = _shingled(part)
             hit = np.flatnonzero(self.maybe[value >> np.uint64(44)])
             if not len(hit) or not len(self.value):
@@ -209,6 +212,7 @@ def find(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
                     out.append((ids[row].as_py(), shared.value.ids[item], start, size, similarity, distance))
                 columns = list(zip(*out)) if out else [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+                give_back()
 
         one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         found = found.union(one.mapInArrow(run, FOUND))
@@ -229,6 +233,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> Data
                 for row, *_ in shared.value.scan(batch.column(at).cast(pa.large_string())):
                     keep[row] = False
                 yield batch.filter(pa.array(keep))
+                give_back()
 
         kept = kept.mapInArrow(run, kept.schema)
     return kept.toDF(*names)

@@ -40,16 +40,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavola.llm import words
 from tavola.llm.components import components
 from tavola.llm.pieces import expand
+from tavola.llm.resident import give_back
 from tavola.llm.shared import stored
 from tavola.llm.tables import text_key
 
 BLOCK = 256
+#: Bytes of text whose sets a worker makes at a time; their arrays take some thirty times as much.
+PART = 500_000
 
 
 def required(a: int, b: int, percent: int) -> int:
@@ -68,10 +72,15 @@ def prefix(size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
 def _slices(batches: Iterator[pa.RecordBatch], n: int):
     """Of parts of a batch: the batch, first row, rows, and the sets with the row of each shingle."""
     for batch in batches:
-        for first, part in words.text_slices(batch.column("text")):
-            data, begin, end, row = words.spans(part)
-            value, of = words.sets(words.hashes(data, begin, end, lower=True), row, n)
-            yield batch, first, len(part), value, of
+        for first, part in words.text_slices(batch.column("text"), PART):
+            yield batch, first, len(part), *_sets(part, n)
+            give_back()
+
+
+def _sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of texts, one after another, and the row of each shingle."""
+    data, begin, end, row = words.spans(texts)
+    return words.sets(words.hashes(data, begin, end, lower=True), row, n)
 
 
 def _class_of(value: np.ndarray, of: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,11 +152,12 @@ def first_shingles(
     return value[order][keep], of[keep]
 
 
-def _keys(n: int, percent: int, frequency: np.ndarray):
+def _keys(n: int, percent: int, shared: Broadcast[np.ndarray]):
     """A row (key, cls, size) for each key of each set, once for each set that a task meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        frequency = shared.value
         for _, _, rows, value, of in _slices(batches, n):
             size, name = _class_of(value, of, rows)
             new = np.zeros(rows, dtype=bool)
@@ -288,12 +298,14 @@ def _join_task(n: int, percent: int):
     each other; a spanning forest of them."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         # in order of the class, so that the walk does not depend on the order of rows
         frame = frame.drop_duplicates("cls").sort_values("cls", kind="stable")
-        data, begin, end, row = words.spans(pa.array(frame["text"], pa.large_string()))
-        value, of = words.sets(words.hashes(data, begin, end, lower=True), row, n)
-        size = np.bincount(of, minlength=len(frame))
-        sets = np.split(value, np.cumsum(size)[:-1])
+        sets: list[np.ndarray] = []
+        for _, part in words.text_slices(pa.array(frame.pop("text"), pa.large_string()), PART):
+            value, of = _sets(part, n)
+            size = np.bincount(of, minlength=len(part))
+            sets += np.split(value, np.cumsum(size)[:-1])
         side = frame["side"].to_numpy()
         names = frame["cls"].to_numpy()
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
@@ -368,6 +380,7 @@ def _edges(percent: int):
             if last:
                 made, hot = pairs(*(r[:last] for r in rows), hot)
                 yield made
+            give_back()
         if len(held[0]):
             yield pairs(*held, hot)[0]
 
@@ -377,7 +390,9 @@ def _edges(percent: int):
 def _candidates(rows: DataFrame, n: int, percent: int, frequency: np.ndarray) -> DataFrame:
     """Pairs of classes (a, b) that share enough keys, and those that stand for a key of many
     classes (free): all classes of such a key are candidates of each other."""
-    keyed = rows.select("text").mapInArrow(_keys(n, percent, frequency), "key long, cls long, size int")
+    # as part of the function, workers would hold the table twice
+    shared = rows.sparkSession.sparkContext.broadcast(frequency)
+    keyed = rows.select("text").mapInArrow(_keys(n, percent, shared), "key long, cls long, size int")
     met = keyed.repartition("key").sortWithinPartitions("key", "cls")
     pairs = met.mapInArrow(_edges(percent), "a long, b long, shared long, need long, free boolean")
     enough = (
@@ -385,7 +400,9 @@ def _candidates(rows: DataFrame, n: int, percent: int, frequency: np.ndarray) ->
         .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
         .where(F.col("free") | (F.col("shared") >= F.col("need")))
     )
-    return stored(enough.select("a", "b", "free"), "candidates")
+    candidates = stored(enough.select("a", "b", "free"), "candidates")
+    shared.destroy()
+    return candidates
 
 
 #: How often the sets of a dense group are dealt to blocks anew before what is left is compared.

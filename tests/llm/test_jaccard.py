@@ -1,7 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tavola.llm import jaccard
@@ -195,3 +198,26 @@ def hashed(text):
 
     data, begin, end, row = jaccard.words.spans(pa.array([text]))
     return jaccard.words.hashes(data, begin, end, lower=True), row
+
+
+def test_a_batch_of_long_texts_takes_little_memory():
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(1000)) for _ in range(750)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(750), pa.int64()), pa.array(texts), pa.array(["p"] * 750)], names=["doc_id", "text", "part"]
+    )
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in jaccard._classes(5)(iter([batch])) if b.column("block").null_count)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 750
+    assert peak < 8 * sum(map(len, texts))
+
+
+def test_parts_of_a_task_do_not_change_its_links(monkeypatch):
+    docs = [(k, t) for k, t in enumerate(dict.fromkeys(t for _, t in corpus(random.Random(8), 120)))]
+    docs = [d for d in docs if grams(d[1], 5)]
+    frame = pd.DataFrame({"cls": [i for i, _ in docs], "text": [t for _, t in docs], "side": 2})
+    whole = jaccard._join_task(5, 80)(frame.copy())
+    monkeypatch.setattr(jaccard, "PART", 300)
+    assert len(whole) and jaccard._join_task(5, 80)(frame.copy()).equals(whole)
